@@ -133,7 +133,7 @@ def describe_store(spark: SparkSession, path: str) -> DataFrame:
 
 
 def _summary(name: str, df: DataFrame) -> DataFrame:
-    size = int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes().toString())
+    size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
     return df.agg(F.count(F.lit(1)).alias("n_rows")).select(
         F.lit(name).alias("table_name"), "n_rows", F.lit(len(df.columns)).alias("n_columns"),
         F.lit(size).cast("bigint").alias("n_bytes"))
