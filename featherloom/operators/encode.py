@@ -86,12 +86,14 @@ def factorize(df: DataFrame, columns: Sequence[str], order_by: str,
     present, absent = check_columns(df, sorted(columns))
     for c in absent:
         report.skip("factorize", c, "absent column")
-    for c in present:
-        names = df.columns
-        joined = lookup_join(df, category_table(df, c, order_by), c, "__n")
-        df = joined.select(*[F.coalesce(F.col("__code"), F.lit(-1)).alias(c) if x == c
-                             else quoted(x) for x in names])
-    return df
+    # every code table starts from the input, not from the previous join
+    tables = [category_table(df, c, order_by).withColumnRenamed("__code", f"__code_{c}")
+              for c in present]
+    names = df.columns
+    for c, table in zip(present, tables):
+        df = lookup_join(df, table, c, "__n")
+    return df.select(*[F.coalesce(quoted(f"__code_{c}"), F.lit(-1)).alias(c)
+                       if c in present else quoted(c) for c in names])
 
 
 def class_weights(df: DataFrame, target: str, name: str = "class_weight",

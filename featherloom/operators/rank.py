@@ -7,6 +7,7 @@ balance the work: any cuts give the same, exact ranks.
 
 from __future__ import annotations
 
+from collections import Counter
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
@@ -15,7 +16,7 @@ from featherloom.functions.columns import key_digest, nan_to_null
 from featherloom.naming import quoted
 from featherloom.operators.joins import lookup_join
 
-BUCKETS = 256
+BUCKETS = 1024
 DIGEST_BUCKETS = 4096
 HOT_SPLITS = 64
 
@@ -35,24 +36,41 @@ def ordered_number(df: DataFrame, column: str) -> Column:
     return c
 
 
+def _constant(values: Sequence) -> Column:
+    """Constant array of numbers, sent as one literal."""
+    kind = "double" if any(isinstance(v, float) for v in values) else "bigint"
+    return F.split(F.lit(",".join(repr(v) for v in values)), ",").cast(f"array<{kind}>")
+
+
 def range_cuts(df: DataFrame, value: Column, buckets: int = BUCKETS) -> list:
     """At most ``buckets - 1`` ascending cut points, repeats kept."""
-    steps = [i / buckets for i in range(1, buckets)]
-    found = df.agg(F.percentile_approx(value, steps, 10000).alias("cuts")).first()["cuts"]
-    return sorted(found) if found else []
+    return range_cuts_of(df, [value], buckets)[0]
 
 
-def bucket_of(value: Column, cuts: Sequence) -> Column:
-    """Number of distinct cuts below the value, as a balanced tree of comparisons."""
-    points = sorted(set(cuts))
+def range_cuts_of(df: DataFrame, values: Sequence[Column], buckets: int = BUCKETS) -> list[list]:
+    """Cut points of several columns from one pass over the table."""
+    steps = _constant([i / buckets for i in range(1, buckets)])
+    found = df.agg(*[F.percentile_approx(v, steps, 10000).alias(f"c{i}")
+                     for i, v in enumerate(values)]).first()
+    return [sorted(cuts) if cuts else [] for cuts in found]
 
-    def tree(lo: int, hi: int) -> Column:
-        if lo == hi:
-            return F.lit(lo)
-        mid = (lo + hi) // 2
-        return F.when(value > F.lit(points[mid]), tree(mid + 1, hi)).otherwise(tree(lo, mid))
 
-    return tree(0, len(points))
+def with_bucket(df: DataFrame, value: Column, cuts: Sequence, name: str) -> DataFrame:
+    """Adds the number of distinct cuts below the value; missing values get 0.
+
+    A binary search with one small projection per step stays in generated
+    code; one expression over all cuts would be too long to be compiled.
+    """
+    points = sorted(set(cuts))
+    df = df.withColumns({"__v": value, name: F.lit(0)})
+    if points:
+        table = _constant(points)
+        step = 1 << (len(points).bit_length() - 1)
+        while step:
+            below = F.get(table, quoted(name) + F.lit(step - 1)) < F.col("__v")
+            df = df.withColumn(name, quoted(name) + F.when(below, step).otherwise(0))
+            step >>= 1
+    return df.drop("__v")
 
 
 def _shift(rows: DataFrame, shifts: DataFrame, by: Sequence[str],
@@ -79,7 +97,7 @@ def prefix_sums(counted: DataFrame, order: str, measures: Sequence[str],
     keys = [quoted(k) for k in by]
     if cuts is None:
         cuts = range_cuts(counted, ordered_number(counted, order))
-    bucketed = counted.withColumn("__b", bucket_of(ordered_number(counted, order), cuts))
+    bucketed = with_bucket(counted, ordered_number(counted, order), cuts, "__b")
     sizes = bucketed.groupBy(*keys, "__b").agg(
         *[F.sum(quoted(m)).alias(f"__s{i}") for i, m in enumerate(measures)])
     # one row per bucket: at most BUCKETS rows for each group
@@ -103,7 +121,7 @@ def prefix_sums(counted: DataFrame, order: str, measures: Sequence[str],
 
 
 def value_positions(df: DataFrame, column: str, by: Sequence[str] = (),
-                    buckets: int = BUCKETS) -> DataFrame:
+                    cuts: Sequence | None = None) -> DataFrame:
     """Distinct values with ``n`` (ties), ``n_before`` and ``n_total``; NULLs left out.
 
     Counting comes first, so a value held by many rows is one row afterwards.
@@ -111,7 +129,8 @@ def value_positions(df: DataFrame, column: str, by: Sequence[str] = (),
     present = df.filter(ordered_number(df, column).isNotNull())
     counted = present.groupBy(*[quoted(k) for k in by], quoted(column)).agg(
         F.count(F.lit(1)).alias("n"))
-    cuts = range_cuts(present, ordered_number(df, column), buckets)
+    if cuts is None:
+        cuts = range_cuts(present, ordered_number(df, column))
     return prefix_sums(counted, column, ["n"], by, cuts)
 
 
@@ -142,30 +161,38 @@ def pct_rank(df: DataFrame, columns: Sequence[str], suffix: str = "") -> DataFra
     Missing values stay missing and do not count. The ranks replace the column
     or, with a ``suffix``, go beside it.
     """
-    for c in columns:
-        ranked = value_positions(df, c).select(
-            quoted(c), quoted("n"),
-            ((quoted("n_before") + (quoted("n") + 1) / F.lit(2.0)) / quoted("n_total"))
-            .alias("__pct"))
-        order = [x if x != c or suffix else "__pct" for x in df.columns]
-        joined = lookup_join(df, ranked, c, "n")
-        df = joined.select(*[quoted(x).alias(c) if x == "__pct" else quoted(x) for x in order],
-                           *([quoted("__pct").alias(c + suffix)] if suffix else []))
-    return df
+    # every lookup table starts from the input, not from the previous join
+    cuts = range_cuts_of(df, [ordered_number(df, c) for c in columns]) if columns else []
+    tables = [value_positions(df, c, cuts=points).select(
+        quoted(c), quoted("n"),
+        ((quoted("n_before") + (quoted("n") + 1) / F.lit(2.0)) / quoted("n_total"))
+        .alias(f"__pct_{c}")) for c, points in zip(columns, cuts)]
+    names, ranked = df.columns, set(columns)
+    for c, table in zip(columns, tables):
+        df = lookup_join(df, table, c, "n")
+    kept = [quoted(f"__pct_{c}").alias(c) if c in ranked and not suffix else quoted(c)
+            for c in names]
+    beside = [quoted(f"__pct_{c}").alias(c + suffix) for c in columns] if suffix else []
+    return df.select(*kept, *beside)
 
 
 def digest_row_number(df: DataFrame, key: str, seed: int, name: str,
                       by: Sequence[str] = (), total: str | None = None,
+                      source: DataFrame | None = None,
                       buckets: int = DIGEST_BUCKETS) -> DataFrame:
     """Row number (from 1) in a seeded pseudo-random order, per ``by`` group.
 
     Digests are even by nature, so their leading bits are the buckets.
-    ``total`` names an optional column with the group size.
+    ``total`` names an optional column with the group size. ``source`` is the
+    table the buckets are counted on, if ``df`` already has costly columns.
     """
-    df = df.withColumn("__d", key_digest(quoted(key), seed))
-    lead = F.conv(F.substring("__d", 1, 4), 16, 10).cast("int")
-    df = df.withColumn("__b", F.floor(lead * buckets / 65536).cast("int"))
-    return _number(df, ["__b"], ["__d", key], by, name, total)
+    def with_digest(rows: DataFrame) -> DataFrame:
+        rows = rows.withColumn("__d", key_digest(quoted(key), seed))
+        lead = F.conv(F.substring("__d", 1, 4), 16, 10).cast("int")
+        return rows.withColumn("__b", F.floor(lead * buckets / 65536).cast("int"))
+
+    counted = with_digest(df if source is None else source)
+    return _number(with_digest(df), counted, ["__b"], ["__d", key], by, name, total)
 
 
 def ordered_row_number(df: DataFrame, order_by: str, key: str, name: str,
@@ -178,33 +205,34 @@ def ordered_row_number(df: DataFrame, order_by: str, key: str, name: str,
     """
     value = ordered_number(df, order_by)
     cuts = range_cuts(df, value, buckets)
-    hot = sorted({c for c in cuts if cuts.count(c) > 1})
+    hot = sorted(c for c, times in Counter(cuts).items() if times > 1)
     is_hot = value.isNull() | (value.isin(hot) if hot else F.lit(False))
     df = df.withColumn("__d", key_digest(quoted(key), seed))
     lead = F.conv(F.substring("__d", 1, 2), 16, 10).cast("int")
-    df = df.withColumns({
-        "__b": F.when(value.isNull(), -1).otherwise(bucket_of(value, cuts)),
+    df = with_bucket(df, value, cuts, "__b").withColumns({
+        "__b": F.when(value.isNull(), -1).otherwise(F.col("__b")),
         "__h": F.when(is_hot, F.floor(lead * HOT_SPLITS / 256).cast("int") + 1).otherwise(0),
     })
-    return _number(df, ["__b", "__h"], [order_by, "__d", key], by, name, total)
+    return _number(df, df, ["__b", "__h"], [order_by, "__d", key], by, name, total)
 
 
-def _number(df: DataFrame, buckets: Sequence[str], order: Sequence[str],
-            by: Sequence[str], name: str, total: str | None) -> DataFrame:
+def _number(df: DataFrame, counted: DataFrame, buckets: Sequence[str],
+            order: Sequence[str], by: Sequence[str], name: str,
+            total: str | None) -> DataFrame:
     by = list(by)
     keys = [quoted(k) for k in by]
-    sizes = df.groupBy(*keys, *buckets).agg(F.count(F.lit(1)).alias("__n"))
+    sizes = counted.groupBy(*keys, *buckets).agg(F.count(F.lit(1)).alias("__n"))
     below = (Window.partitionBy(*keys).orderBy(*buckets)
              .rowsBetween(Window.unboundedPreceding, -1))
     shifts = sizes.select(*keys, *buckets,
                           F.coalesce(F.sum("__n").over(below), F.lit(0)).alias("__o"),
-                          F.sum("__n").over(Window.partitionBy(*keys)).alias("__t"))
+                          F.sum("__n").over(Window.partitionBy(*keys)).alias("__size"))
     inside = Window.partitionBy(*keys, *buckets).orderBy(*[quoted(c) for c in order])
     df = df.withColumn("__r", F.row_number().over(inside))
     df = _shift(df, shifts, by, buckets).withColumn(name, quoted("__r") + quoted("__o"))
     if total:
-        df = df.withColumn(total, quoted("__t"))
-    return df.drop("__d", "__r", "__o", "__t", *buckets)
+        df = df.withColumn(total, quoted("__size"))
+    return df.drop("__d", "__r", "__o", "__size", *buckets)
 
 
 def running_best(df: DataFrame, score: str, order_by: str, name: str,
@@ -213,7 +241,7 @@ def running_best(df: DataFrame, score: str, order_by: str, name: str,
     by = list(by)
     keys = [quoted(k) for k in by]
     value = ordered_number(df, order_by)
-    df = df.withColumn("__b", bucket_of(value, range_cuts(df, value)))
+    df = with_bucket(df, value, range_cuts(df, value), "__b")
     tops = df.groupBy(*keys, "__b").agg(F.max(quoted(score)).alias("__m"))
     below = Window.partitionBy(*keys).orderBy("__b").rowsBetween(Window.unboundedPreceding, -1)
     tops = tops.select(*keys, "__b", F.max("__m").over(below).alias("__m"))

@@ -42,8 +42,9 @@ def shuffle_split(df: DataFrame, key: str, n_splits: int, test_size: float | int
                   train_size: float | int | None = None, seed: int = 42,
                   name: str = "split") -> DataFrame:
     """Adds ``{name}_{i}`` per split: train, valid, or missing for unused rows."""
+    source = df
     for i in range(n_splits):
-        df = digest_row_number(df, key, seed + i, "__i", total="__t")
+        df = digest_row_number(df, key, seed + i, "__i", total="__t", source=source)
         df = df.withColumn(f"{name}_{i}", _role(test_size, train_size)).drop("__i", "__t")
     return df
 
@@ -52,8 +53,9 @@ def stratified_shuffle_split(df: DataFrame, key: str, target: str, n_splits: int
                              test_size: float, train_size: float | None = None,
                              seed: int = 42, name: str = "split") -> DataFrame:
     """Like shuffle_split with the shares taken within each class."""
+    source = df
     for i in range(n_splits):
-        df = digest_row_number(df, key, seed + i, "__i", by=[target], total="__t")
+        df = digest_row_number(df, key, seed + i, "__i", [target], "__t", source)
         df = df.withColumn(f"{name}_{i}", _role(test_size, train_size)).drop("__i", "__t")
     return df
 

@@ -47,12 +47,12 @@ def agg_mean_sum(spark: SparkSession, folder: str) -> DataFrame:
 
 
 @query("agg_var", fx.FX + """
-select l_orderkey, round(var_samp(l_quantity), 6) as B_l_quantity_VAR,
-       round(var_samp(l_discount), 6) as B_l_discount_VAR
+select l_orderkey, round(var_samp(l_quantity), 8) as B_l_quantity_VAR,
+       round(var_samp(l_discount), 8) as B_l_discount_VAR
 from fx_balance group by l_orderkey""")
 def agg_var(spark: SparkSession, folder: str) -> DataFrame:
     return rounded(aggregate(fx.balance(spark, folder), "l_orderkey",
-                             {"l_quantity": ["var"], "l_discount": ["var"]}, header="B"))
+                             {"l_quantity": ["var"], "l_discount": ["var"]}, header="B"), 8)
 
 
 @query("agg_size", fx.FX + """
