@@ -4,12 +4,13 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from featherloom.plans.build import build_main, build_train_test, staged_build
+from featherloom.plans.build import (
+    LEVELS, STAGES, build_main, build_train_test, staged_build)
 from featherloom.plans.loan_like import KEY, SPECS, TARGET
 from featherloom.queries import fixtures as fx
 from featherloom.queries.registry import as_double, query, rounded
 from featherloom.report import Report
-from featherloom.sources.store import shared_folder
+from featherloom.sources.store import read_store, shared_folder, write_store
 
 
 def raw_tables(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
@@ -137,10 +138,14 @@ from built left join prev_agg using (c_custkey) left join ev_agg using (c_custke
 cross join (values ('from_csv'), ('from_raw_cache'), ('from_processed'), ('from_train_test'))
   levels(level)""")
 def staged(spark: SparkSession, folder: str) -> DataFrame:
-    path = shared_folder(spark)
+    first = shared_folder(spark)
     out = None
-    for level in ("from_csv", "from_raw_cache", "from_processed", "from_train_test"):
-        # every level writes its own copy of the later stages, from the same first one
+    for level, number in LEVELS.items():
+        # each level enters at its own copy of the cache, and rewrites only later ones
+        path = first if number == 0 else shared_folder(spark)
+        if number:
+            cache = f"cache_sample_{STAGES[number]}"
+            write_store(spark, f"{path}/{cache}", read_store(spark, f"{first}/{cache}"))
         halves = staged_build(spark, level, "sample", path, SPECS, KEY, TARGET,
                               lambda: raw_tables(spark, folder))
         rows = halves["train"].union(halves["test"]).select(
