@@ -84,18 +84,20 @@ def union_train_test(train: DataFrame, test: DataFrame) -> DataFrame:
 
 
 def lookup_join(rows: DataFrame, table: DataFrame, on: str | Sequence[str],
-                weight: str) -> DataFrame:
+                weight: str, total: str | None = None) -> DataFrame:
     """Left join of a one-row-per-key ``table`` whose keys may be very uneven in ``rows``.
 
     ``weight`` is a column of ``table`` with the number of rows per key. Keys
     with more than 1/HOT_LIMIT of all rows are joined by broadcast; there are
     fewer than HOT_LIMIT of them by definition. Their rows are then spread over
-    salts, so that the shuffle join of the remaining keys stays even.
+    salts, so that the shuffle join of the remaining keys stays even. ``total``
+    names a column of ``table`` that already holds the sum of the weights.
     """
     on = _keys(on)
-    payload = [c for c in table.columns if c not in on and c != weight]
-    limit = table.agg(F.sum(quoted(weight)).alias("rows")).scalar() / F.lit(float(HOT_LIMIT))
-    is_hot = F.coalesce(quoted(weight) > limit, F.lit(False))
+    payload = [c for c in table.columns if c not in on and c not in (weight, total)]
+    rows_in_all = quoted(total) if total else \
+        table.agg(F.sum(quoted(weight)).alias("rows")).scalar()
+    is_hot = F.coalesce(quoted(weight) > rows_in_all / F.lit(float(HOT_LIMIT)), F.lit(False))
     hot = table.filter(is_hot).select(
         *[quoted(k) for k in on],
         F.struct(*[quoted(c).alias(f"p{i}") for i, c in enumerate(payload)]).alias("__hot"))

@@ -164,12 +164,12 @@ def pct_rank(df: DataFrame, columns: Sequence[str], suffix: str = "") -> DataFra
     # every lookup table starts from the input, not from the previous join
     cuts = range_cuts_of(df, [ordered_number(df, c) for c in columns]) if columns else []
     tables = [value_positions(df, c, cuts=points).select(
-        quoted(c), quoted("n"),
+        quoted(c), quoted("n"), quoted("n_total"),
         ((quoted("n_before") + (quoted("n") + 1) / F.lit(2.0)) / quoted("n_total"))
         .alias(f"__pct_{c}")) for c, points in zip(columns, cuts)]
     names, ranked = df.columns, set(columns)
     for c, table in zip(columns, tables):
-        df = lookup_join(df, table, c, "n")
+        df = lookup_join(df, table, c, "n", "n_total")
     kept = [quoted(f"__pct_{c}").alias(c) if c in ranked and not suffix else quoted(c)
             for c in names]
     beside = [quoted(f"__pct_{c}").alias(c + suffix) for c in columns] if suffix else []

@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame, SparkSession, types as T
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from featherloom.ml.reduce import decompose
 from featherloom.naming import quoted
@@ -15,7 +15,7 @@ from featherloom.operators.clean import (
 from featherloom.operators.encode import factorize, one_hot
 from featherloom.operators.interact import interaction, row_stats
 from featherloom.operators.joins import join_features, rollup_child, union_train_test
-from featherloom.operators.schema import align_columns, categorical_columns
+from featherloom.operators.schema import categorical_columns, feature_columns
 from featherloom.report import Report, ensure
 from featherloom.sources.store import any_empty, load_tables, read_store, write_store
 
@@ -99,37 +99,48 @@ def build_history(tables: Mapping[str, DataFrame], spec: Mapping, name: str, key
 def build_processed(tables: Mapping[str, DataFrame], specs: Mapping, key: str, target: str,
                     report: Report | None = None, narrow: bool = False,
                     ) -> dict[str, DataFrame]:
-    """The main table, split by target, and one feature table per history."""
+    """``main`` with labelled and unlabelled rows, and one feature table per history."""
     report = ensure(report)
     main = specs["main"]
     if "test" in main:
         rows = union_train_test(tables[main["train"]], tables[main["test"]])
     else:
         rows = tables[main["train"]]
-    built = build_main(rows, main, key, target, report, narrow)
-    train, test = split_labelled(built, target)
-    out = {"main_train": train, "main_test": test}
+    out = {"main": build_main(rows, main, key, target, report, narrow)}
     for name, spec in specs.get("histories", {}).items():
         out[name] = build_history(tables, spec, spec.get("table", name), key, report, narrow)
     return out
 
 
-def join_processed(processed: Mapping[str, DataFrame], key: str, target: str,
-                   ) -> dict[str, DataFrame]:
-    """Left-joins every history to both halves of the main table and aligns columns."""
-    histories = {n: df for n, df in processed.items() if n not in ("main_train", "main_test")}
-    train = join_features(processed["main_train"], histories, key)
-    test = join_features(processed["main_test"], histories, key)
-    train, test = align_columns(train, test, target, [key])
-    return {"train": train, "test": test}
+def join_processed(processed: Mapping[str, DataFrame], key: str, target: str) -> DataFrame:
+    """Left-joins every history to the main table; columns sorted by name.
+
+    Train and test rows go through the joins together and are split afterwards,
+    so no history is scanned or shuffled once for each half.
+    """
+    histories = {n: df for n, df in processed.items() if n != "main"}
+    joined = join_features(processed["main"], histories, key)
+    features = sorted(feature_columns(joined, [key, target]))
+    return joined.select(*[quoted(c) for c in (key, *features, target)])
+
+
+def build_matrix(tables: Mapping[str, DataFrame], specs: Mapping, key: str, target: str,
+                 report: Report | None = None, narrow: bool = False) -> DataFrame:
+    """Spec dict and raw tables to the whole feature matrix, as one lazy plan."""
+    return join_processed(build_processed(tables, specs, key, target, report, narrow),
+                          key, target)
 
 
 def build_train_test(tables: Mapping[str, DataFrame], specs: Mapping, key: str, target: str,
                      report: Report | None = None, narrow: bool = False,
                      ) -> dict[str, DataFrame]:
-    """Spec dict and raw tables to one lazy plan per half of the matrix."""
-    return join_processed(build_processed(tables, specs, key, target, report, narrow),
-                          key, target)
+    """The matrix split by target into ``train`` and ``test``."""
+    return _halves(build_matrix(tables, specs, key, target, report, narrow), target)
+
+
+def _halves(matrix: DataFrame, target: str) -> dict[str, DataFrame]:
+    train, test = split_labelled(matrix, target)
+    return {"train": train, "test": test}
 
 
 # Entry levels of a staged build, and the stage names on disk.
@@ -154,9 +165,9 @@ def staged_build(spark: SparkSession, source: str, prefix: str, folder: str, spe
     paths = {n: f"{folder}/cache_{prefix}_{stage}" for n, stage in STAGES.items()}
 
     if level == 3:
-        found = read_store(spark, paths[3], ["train", "test"])
-        if not any_empty(found):
-            return found
+        halves = _stored_halves(spark, paths[3])
+        if not any_empty(halves):
+            return halves
         report.skip("staged_build", "train_test", "no cache at level 3")
         level = 2
     found: Mapping[str, DataFrame] = {}
@@ -173,35 +184,29 @@ def staged_build(spark: SparkSession, source: str, prefix: str, folder: str, spe
     if level == 1:
         found = _write_stage(spark, paths[2],
                              build_processed(found, specs, key, target, report))
-    result = join_processed(_narrowed(found, key, target, report) if narrow else found,
-                            key, target)
-    write_store(spark, paths[3], result)
-    return read_store(spark, paths[3], ["train", "test"])
+    if narrow:
+        found = {n: narrow_types(df, keep=[key, target], report=report)
+                 for n, df in found.items()}
+    matrix = join_processed(found, key, target)
+    part = F.when(quoted(target).isNull(), "test").otherwise("train")
+    write_store(spark, paths[3], {"matrix": matrix.withColumn(_PART, part)},
+                partition_by={"matrix": _PART})
+    return _stored_halves(spark, paths[3])
+
+
+# Folder column that separates the stored halves of the matrix.
+_PART = "matrix_part"
+
+
+def _stored_halves(spark: SparkSession, path: str) -> dict[str, DataFrame]:
+    matrix = read_store(spark, path, ["matrix"])["matrix"]
+    if _PART not in matrix.columns:
+        return {"train": matrix, "test": matrix}
+    return {half: matrix.filter(F.col(_PART) == half).drop(_PART)
+            for half in ("train", "test")}
 
 
 def _write_stage(spark: SparkSession, path: str, tables: Mapping[str, DataFrame],
                  ) -> dict[str, DataFrame]:
     write_store(spark, path, tables)
     return read_store(spark, path)
-
-
-def _narrowed(tables: Mapping[str, DataFrame], key: str, target: str,
-              report: Report) -> dict[str, DataFrame]:
-    """32-bit columns; the ranges come from the stored columns of one stage.
-
-    Both halves of the main table get the wider type of the two.
-    """
-    out = dict(tables)
-    halves = ("main_train", "main_test")
-    if all(h in tables for h in halves):
-        both = union_train_test(tables[halves[0]], tables[halves[1]])
-        slim = narrow_types(both, keep=[key, target], report=report)
-        kinds = {f.name: f.dataType for f in slim.schema}
-        for h in halves:
-            out[h] = tables[h].select(*[quoted(c).cast(kinds[c]).alias(c)
-                                        for c in tables[h].columns])
-    for name, df in tables.items():
-        if name not in halves and any(isinstance(f.dataType, (T.LongType, T.DoubleType))
-                                      for f in df.schema if f.name != key):
-            out[name] = narrow_types(df, keep=[key], report=report)
-    return out

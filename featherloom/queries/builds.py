@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from featherloom.plans.build import (
-    LEVELS, STAGES, build_main, build_train_test, staged_build)
+    LEVELS, STAGES, build_main, build_matrix, staged_build)
 from featherloom.plans.loan_like import KEY, SPECS, TARGET
 from featherloom.queries import fixtures as fx
 from featherloom.queries.registry import as_double, query, rounded
@@ -126,8 +126,8 @@ _COUNTS = ", ".join(f'"{c}"::double as "{c}"' for c in _NULLABLE)
 select * exclude ("DAYS_TO_NATION", "ROW_MEAN") replace ({_COUNTS}), {_ROUND_MAIN}
 from built left join prev_agg using (c_custkey) left join ev_agg using (c_custkey)""")
 def train_test(spark: SparkSession, folder: str) -> DataFrame:
-    out = build_train_test(raw_tables(spark, folder), SPECS, KEY, TARGET)
-    return _six(as_double(out["train"].union(out["test"]), *_NULLABLE))
+    matrix = build_matrix(raw_tables(spark, folder), SPECS, KEY, TARGET)
+    return _six(as_double(matrix, *_NULLABLE))
 
 
 @query("staged_build", fx.FX + _MAIN + _HISTORIES + """

@@ -84,7 +84,8 @@ def input_keys(inputs: Mapping[str, Mapping]) -> dict[str, str | None]:
 
 
 def write_store(spark: SparkSession, path: str, tables: Mapping[str, DataFrame],
-                overwrite: bool = True, fast: bool = False) -> bool:
+                overwrite: bool = True, fast: bool = False,
+                partition_by: Mapping[str, str] | None = None) -> bool:
     """One Parquet sub-directory per table; False if it exists and may not be replaced.
 
     ``fast`` prefers speed to size (snappy rather than zstd). Tables already in
@@ -96,8 +97,10 @@ def write_store(spark: SparkSession, path: str, tables: Mapping[str, DataFrame],
             return False
     codec = "snappy" if fast else "zstd"
     for name, df in tables.items():
-        (df.write.mode("overwrite").option("compression", codec)
-         .parquet(f"{path}/{name}"))
+        writer = df.write.mode("overwrite").option("compression", codec)
+        if partition_by and name in partition_by:
+            writer = writer.partitionBy(partition_by[name])
+        writer.parquet(f"{path}/{name}")
     listing = spark.createDataFrame([(n,) for n in tables], "table string")
     listing.coalesce(1).write.mode("overwrite").json(f"{path}/_tables")
     return True
