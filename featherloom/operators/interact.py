@@ -61,27 +61,65 @@ def interaction(df: DataFrame, specs: Sequence[Mapping],
     return df, created
 
 
-def column_means(df: DataFrame, columns: Sequence[str]) -> Column:
-    """Global means as one struct, fetched once by a scalar subquery."""
-    means = F.struct(*[F.avg(quoted(c)).alias(f"m{i}") for i, c in enumerate(columns)])
-    return df.agg(means.alias("means")).scalar()
+def column_means(df: DataFrame, columns: Sequence[str]) -> dict[str, Column]:
+    """Global means of the columns, all from one scalar subquery."""
+    if not columns:
+        return {}
+    means = F.struct(*[F.avg(quoted(c).cast("double")).alias(f"m{i}")
+                       for i, c in enumerate(columns)])
+    fetched = df.agg(means.alias("means")).scalar()
+    return {c: fetched.getField(f"m{i}") for i, c in enumerate(columns)}
 
 
 def row_stats(df: DataFrame, spec: Mapping, report: Report | None = None) -> DataFrame:
     """Adds ``{header}_{METHOD}`` per method of ``{header, transform, columns}``."""
+    return row_stats_list(df, [spec], report)
+
+
+def row_stats_list(df: DataFrame, specs: Sequence[Mapping],
+                   report: Report | None = None) -> DataFrame:
+    """Row statistics of several specs; later specs may use columns of earlier ones.
+
+    Specs that do not build on each other share their two passes over the
+    table: one for the means that fill factors, one for those that fill stds.
+    """
     report = ensure(report)
-    header = spec.get("header", "NEW")
-    present, absent = check_columns(df, spec.get("columns", []))
-    for c in absent:
-        report.skip("row_stats", c, f"absent column of {header}")
-    methods = [m for m in spec.get("transform", []) if m in ROW_METHODS]
-    for m in spec.get("transform", []):
-        if m not in ROW_METHODS:
-            report.skip("row_stats", m, f"unknown method of {header}")
-    if not present:
-        return df
+    batch: list[Mapping] = []
+    made: set[str] = set()
+    for spec in specs:
+        if made & set(spec.get("columns", [])):
+            df, batch, made = _row_stats_batch(df, batch, report), [], set()
+        batch.append(spec)
+        made |= {row_stat_name(spec.get("header", "NEW"), m) for m in spec.get("transform", [])}
+    return _row_stats_batch(df, batch, report)
+
+
+def _row_stats_batch(df: DataFrame, specs: Sequence[Mapping], report: Report) -> DataFrame:
+    plans = []
+    for spec in specs:
+        header = spec.get("header", "NEW")
+        present, absent = check_columns(df, spec.get("columns", []))
+        for c in absent:
+            report.skip("row_stats", c, f"absent column of {header}")
+        methods = [m for m in spec.get("transform", []) if m in ROW_METHODS]
+        for m in spec.get("transform", []):
+            if m not in ROW_METHODS:
+                report.skip("row_stats", m, f"unknown method of {header}")
+        if present and methods:
+            plans.append((header, present, methods))
+    factors = dict.fromkeys(c for _, cols, ms in plans if "product" in ms for c in cols)
+    means = column_means(df, list(factors))
+    for header, present, methods in plans:
+        df = _row_stats_of(df, header, present, methods, means)
+    stds = [row_stat_name(h, "std") for h, _, ms in plans if "std" in ms]
+    fills = column_means(df, stds)
+    filled = {c: F.coalesce(quoted(c), fills[c]) for c in stds}
+    return df.withColumns(filled) if filled else df
+
+
+def _row_stats_of(df: DataFrame, header: str, present: Sequence[str], methods: Sequence[str],
+                  means: Mapping[str, Column]) -> DataFrame:
     values = [nan_to_null(quoted(c).cast("double")) for c in present]
-    names = {m: row_stat_name(header, m) for m in methods}
     # Shared moments sit in their own projections, so that each is computed once.
     tmp = {k: f"__{header}_{k}" for k in ("n", "sum", "mean", "m2", "m4")}
     if {"mean", "std", "kurtosis"} & set(methods):
@@ -96,24 +134,21 @@ def row_stats(df: DataFrame, spec: Mapping, report: Report | None = None) -> Dat
         if "kurtosis" in methods:
             moments[tmp["m4"]] = squared_sum([d * d for d in deviations])
         df = df.withColumns(moments)
-    for m in methods:
-        df = df.withColumn(names[m], _row_expression(df, m, present, values, tmp))
-        if m == "std":
-            filled = column_means(df, [names[m]]).getField("m0")
-            df = df.withColumn(names[m], F.coalesce(quoted(names[m]), filled))
+    df = df.withColumns({
+        row_stat_name(header, m): _row_expression(m, values, [means.get(c) for c in present], tmp)
+        for m in methods})
     return df.drop(*tmp.values())
 
 
-def _row_expression(df: DataFrame, method: str, columns: Sequence[str],
-                    values: Sequence[Column], tmp: Mapping[str, str]) -> Column:
+def _row_expression(method: str, values: Sequence[Column], means: Sequence[Column | None],
+                    tmp: Mapping[str, str]) -> Column:
     if method == "sum":
         return nan_to_null(total([F.coalesce(v, F.lit(0.0)) for v in values]))
     if method == "sum_squared":
         return squared_sum(values)
     if method == "product":
-        means = column_means(df, columns)
-        return nan_to_null(product([F.coalesce(v, means.getField(f"m{i}"), F.lit(1.0))
-                                    for i, v in enumerate(values)]))
+        return nan_to_null(product([F.coalesce(v, m, F.lit(1.0))
+                                    for v, m in zip(values, means)]))
     if method == "mean":
         return nan_to_null(quoted(tmp["mean"]))
     n, m2 = quoted(tmp["n"]), quoted(tmp["m2"])

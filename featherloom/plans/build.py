@@ -13,7 +13,7 @@ from featherloom.operators.aggregate import aggregate_specs, carried_categories
 from featherloom.operators.clean import (
     drop_rows, narrow_types, replace_values, split_labelled)
 from featherloom.operators.encode import factorize, one_hot
-from featherloom.operators.interact import interaction, row_stats
+from featherloom.operators.interact import interaction, row_stats_list
 from featherloom.operators.joins import join_features, rollup_child, union_train_test
 from featherloom.operators.schema import categorical_columns, feature_columns
 from featherloom.report import Report, ensure
@@ -49,8 +49,7 @@ def prepare(df: DataFrame, spec: Mapping, key: str, report: Report | None = None
         dummies = [c for c in categorical_columns(df) if spec.get("string_categories")]
     df = replace_values(df, spec.get("replace_rows", {}), report)
     df, _ = interaction(df, spec.get("interaction_columns", []), report)
-    for stats in spec.get("deep_interactions", []):
-        df = row_stats(df, stats, report)
+    df = row_stats_list(df, spec.get("deep_interactions", []), report)
     return Prepared(df, dummies, occurring)
 
 
