@@ -98,19 +98,22 @@ def lookup_join(rows: DataFrame, table: DataFrame, on: str | Sequence[str],
     rows_in_all = quoted(total) if total else \
         table.agg(F.sum(quoted(weight)).alias("rows")).scalar()
     is_hot = F.coalesce(quoted(weight) > rows_in_all / F.lit(float(HOT_LIMIT)), F.lit(False))
+    # The salt of other keys follows from the key. A constant would be folded into
+    # the join condition, and rows would then be partitioned by the key alone.
+    own_salt = F.pmod(F.xxhash64(*[quoted(k) for k in on]), F.lit(HOT_SALTS))
     hot = table.filter(is_hot).select(
         *[quoted(k) for k in on],
         F.struct(*[quoted(c).alias(f"p{i}") for i, c in enumerate(payload)]).alias("__hot"))
     cold = table.filter(~is_hot).select(
-        *[quoted(k) for k in on], F.lit(0).alias("__salt"),
+        *[quoted(k) for k in on], own_salt.alias("__salt"),
         F.struct(*[quoted(c).alias(f"p{i}") for i, c in enumerate(payload)]).alias("__cold"))
     spread = F.pmod(F.xxhash64(*[quoted(c) for c in rows.columns]),
-                    F.lit(HOT_SALTS)).cast("int") + 1
+                    F.lit(HOT_SALTS)) + HOT_SALTS
     unmatched = quoted("__hot").isNull()
     for k in on:
         unmatched = unmatched & quoted(k).isNotNull()
     tagged = (rows.join(F.broadcast(hot), on, "left")
-              .withColumn("__salt", F.when(unmatched, F.lit(0)).otherwise(spread)))
+              .withColumn("__salt", F.when(unmatched, own_salt).otherwise(spread)))
     joined = tagged.join(cold, [*on, "__salt"], "left")
     values = [F.coalesce(quoted("__hot").getField(f"p{i}"),
                          quoted("__cold").getField(f"p{i}")).alias(c)

@@ -7,12 +7,12 @@ from pyspark.sql import functions as F
 
 from featherloom.operators.aggregate import aggregate_specs
 from featherloom.operators.encode import factorize, one_hot
-from featherloom.operators.joins import join_features
+from featherloom.operators.joins import join_features, lookup_join
 from featherloom.operators.rank import digest_row_number, ordered_row_number, pct_rank
 from featherloom.operators.splits import (
     kfold, shuffle_split, stratified_kfold, time_series_fold, time_series_split)
 from featherloom.operators.aggregate import aggregate
-from featherloom.queries import fixtures as fx
+from featherloom.queries import QUERIES, fixtures as fx
 from featherloom.queries.aggregations import order_specs
 
 
@@ -129,3 +129,25 @@ def test_scan_reads_only_the_needed_columns(spark, folder):
     plan = plan_of(out)
     assert re.search(r"ReadSchema: struct<l_orderkey:bigint,l_quantity:double,l_tax:double>", plan)
     assert "GreaterThan(l_tax,0.05)" in plan
+
+
+def test_rows_of_frequent_keys_are_spread_over_salts(spark, folder):
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        rows = fx.balance(spark, folder)
+        table = rows.groupBy("l_quantity").agg(F.count("*").alias("n"), F.max("l_tax").alias("m"))
+        joined = lookup_join(rows, table, "l_quantity", "n")
+        exchanges = re.findall(r"Exchange hashpartitioning\((.*?), 4\)", plan_of(joined))
+        salted = [e for e in exchanges if "__salt" in e]
+        assert len(salted) == 2 and all("l_quantity" in e for e in salted)
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_registered_relational_queries_have_no_cross_join(spark, folder):
+    for name in ("win_pct_rank", "encode_factorize", "importance_profile", "class_weights",
+                 "split_stratified_kfold", "metric_roc_auc", "build_train_test"):
+        plan = plan_of(QUERIES[name](spark, folder))
+        assert "CartesianProduct" not in plan and "NestedLoopJoin" not in plan, name
