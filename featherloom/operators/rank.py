@@ -17,8 +17,9 @@ from featherloom.naming import quoted
 from featherloom.operators.joins import lookup_join
 
 BUCKETS = 1024
-DIGEST_BUCKETS = 4096
-HOT_SPLITS = 64
+# Leading hex digits of a digest that make a bucket: 4096 and 256 of them.
+DIGEST_DIGITS = 3
+HOT_DIGITS = 2
 
 
 def ordered_number(df: DataFrame, column: str) -> Column:
@@ -179,17 +180,16 @@ def pct_rank(df: DataFrame, columns: Sequence[str], suffix: str = "") -> DataFra
 def digest_row_number(df: DataFrame, key: str, seed: int, name: str,
                       by: Sequence[str] = (), total: str | None = None,
                       source: DataFrame | None = None,
-                      buckets: int = DIGEST_BUCKETS) -> DataFrame:
+                      digits: int = DIGEST_DIGITS) -> DataFrame:
     """Row number (from 1) in a seeded pseudo-random order, per ``by`` group.
 
-    Digests are even by nature, so their leading bits are the buckets.
+    Digests are even by nature, so their leading digits are the buckets.
     ``total`` names an optional column with the group size. ``source`` is the
     table the buckets are counted on, if ``df`` already has costly columns.
     """
     def with_digest(rows: DataFrame) -> DataFrame:
         rows = rows.withColumn("__d", key_digest(quoted(key), seed))
-        lead = F.conv(F.substring("__d", 1, 4), 16, 10).cast("int")
-        return rows.withColumn("__b", F.floor(lead * buckets / 65536).cast("int"))
+        return rows.withColumn("__b", F.substring("__d", 1, digits))
 
     counted = with_digest(df if source is None else source)
     return _number(with_digest(df), counted, ["__b"], ["__d", key], by, name, total)
@@ -200,18 +200,18 @@ def ordered_row_number(df: DataFrame, order_by: str, key: str, name: str,
                        total: str | None = None, buckets: int = BUCKETS) -> DataFrame:
     """Row number (from 1) by ``order_by``, ties in seeded digest order of the key.
 
-    Missing values come first. A value that fills more than one bucket gets buckets of its own, split by
-    the digest, so one frequent value does not end up in one task.
+    Missing values come first. A value that fills more than one bucket gets
+    buckets of its own, split by the digest, so that one frequent value does
+    not end up in one task.
     """
     value = ordered_number(df, order_by)
     cuts = range_cuts(df, value, buckets)
     hot = sorted(c for c, times in Counter(cuts).items() if times > 1)
     is_hot = value.isNull() | (value.isin(hot) if hot else F.lit(False))
     df = df.withColumn("__d", key_digest(quoted(key), seed))
-    lead = F.conv(F.substring("__d", 1, 2), 16, 10).cast("int")
     df = with_bucket(df, value, cuts, "__b").withColumns({
         "__b": F.when(value.isNull(), -1).otherwise(F.col("__b")),
-        "__h": F.when(is_hot, F.floor(lead * HOT_SPLITS / 256).cast("int") + 1).otherwise(0),
+        "__h": F.when(is_hot, F.substring("__d", 1, HOT_DIGITS)).otherwise(""),
     })
     return _number(df, df, ["__b", "__h"], [order_by, "__d", key], by, name, total)
 
