@@ -3,11 +3,9 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Mapping, Sequence
-from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
 import numpy as np
-from pyspark import inheritable_thread_target
 from pyspark.ml.classification import (
     GBTClassifier, LogisticRegression, NaiveBayes, RandomForestClassifier)
 from pyspark.ml.feature import VectorSlicer
@@ -19,6 +17,7 @@ from featherloom.naming import quoted
 from featherloom.operators.encode import balanced_weight
 from featherloom.operators.joins import union_rows
 from featherloom.operators.metrics import log_loss, roc_auc
+from featherloom.parallel import run_parallel
 from featherloom.report import Report, ensure
 
 # Class names a spec may use -> kind of learner.
@@ -169,13 +168,6 @@ def fit(model: str, params: Mapping, train: DataFrame, label: str = "label",
                   fitted.getNumTrees if kind == "boosted_trees" else None)
 
 
-def run_parallel(tasks: Sequence[Callable[[], object]], parallelism: int) -> list:
-    """Runs fits from a bounded thread pool; each is a Spark job of its own."""
-    with ThreadPoolExecutor(max_workers=max(1, min(parallelism, len(tasks) or 1))) as pool:
-        futures = [pool.submit(inheritable_thread_target(t)) for t in tasks]
-        return [f.result() for f in futures]
-
-
 def _poisson_count(u, mean: float, top: int = 8):
     """Inverse distribution function of a Poisson count, at most ``top``."""
     count, mass, cumulated = F.lit(top), np.exp(-mean), 0.0

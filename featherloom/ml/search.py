@@ -9,12 +9,13 @@ from collections.abc import Callable, Mapping, Sequence
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from featherloom.functions.columns import unit_interval
-from featherloom.ml.models import cross_val_scores, oof_predict, run_parallel
+from featherloom.ml.models import cross_val_scores, oof_predict
 from featherloom.naming import quoted
 from featherloom.operators.rank import running_best
 from featherloom.operators.splits import (
     kfold, shuffle_split, stratified_kfold, stratified_shuffle_split, time_series_split)
 from featherloom.operators.topk import best_trial
+from featherloom.parallel import run_parallel
 from featherloom.report import Report, ensure
 from featherloom.sources.store import save_params
 

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass, field
+from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
@@ -16,6 +17,7 @@ from featherloom.operators.encode import factorize, one_hot
 from featherloom.operators.interact import interaction, row_stats_list
 from featherloom.operators.joins import join_features, rollup_child, union_train_test
 from featherloom.operators.schema import categorical_columns, feature_columns
+from featherloom.parallel import run_parallel
 from featherloom.report import Report, ensure
 from featherloom.sources.store import any_empty, load_tables, read_store, write_store
 
@@ -184,8 +186,10 @@ def staged_build(spark: SparkSession, source: str, prefix: str, folder: str, spe
         found = _write_stage(spark, paths[2],
                              build_processed(found, specs, key, target, report))
     if narrow:
-        found = {n: narrow_types(df, keep=[key, target], report=report)
-                 for n, df in found.items()}
+        stored = dict(found)
+        slim = run_parallel([partial(narrow_types, df, keep=[key, target], report=report)
+                             for df in stored.values()])
+        found = dict(zip(stored, slim))
     matrix = join_processed(found, key, target)
     part = F.when(quoted(target).isNull(), "test").otherwise("train")
     write_store(spark, paths[3], {"matrix": matrix.withColumn(_PART, part)},

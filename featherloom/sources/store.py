@@ -6,12 +6,13 @@ import json
 import logging
 import tempfile
 import uuid
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from featherloom.naming import quoted
 from featherloom.operators.clean import normalise_missing
+from featherloom.parallel import run_parallel
 from featherloom.report import Report, ensure
 
 log = logging.getLogger("featherloom")
@@ -96,11 +97,16 @@ def write_store(spark: SparkSession, path: str, tables: Mapping[str, DataFrame],
             log.warning("store %s exists, overwrite is not allowed", path)
             return False
     codec = "snappy" if fast else "zstd"
-    for name, df in tables.items():
-        writer = df.write.mode("overwrite").option("compression", codec)
-        if partition_by and name in partition_by:
-            writer = writer.partitionBy(partition_by[name])
-        writer.parquet(f"{path}/{name}")
+
+    def one(name: str, df: DataFrame) -> Callable[[], None]:
+        def write() -> None:
+            writer = df.write.mode("overwrite").option("compression", codec)
+            if partition_by and name in partition_by:
+                writer = writer.partitionBy(partition_by[name])
+            writer.parquet(f"{path}/{name}")
+        return write
+
+    run_parallel([one(n, df) for n, df in tables.items()])
     listing = spark.createDataFrame([(n,) for n in tables], "table string")
     listing.coalesce(1).write.mode("overwrite").json(f"{path}/_tables")
     return True
