@@ -76,7 +76,10 @@ def lda(df: DataFrame, columns: Sequence[str], name: str, params: Mapping) -> Da
     df = df.withColumn("__v", array_to_vector("__x"))
     model = LDA(k=k, maxIter=int(params.get("max_iter", 10)), featuresCol="__v",
                 seed=int(params.get("random_state", 42)), topicDistributionCol="__p").fit(df)
-    return _with_components(model.transform(df), name, vector_to_array("__p"), k)
+    # MLlib gives an empty row no topics; its mixture is the even prior
+    empty = F.aggregate("__x", F.lit(0.0), lambda a, x: a + x) == 0
+    mixture = F.when(empty, F.array_repeat(F.lit(1.0 / k), k)).otherwise(vector_to_array("__p"))
+    return _with_components(model.transform(df), name, mixture, k)
 
 
 def _row_mixture(x: np.ndarray, h: np.ndarray, steps: int) -> np.ndarray:
