@@ -7,8 +7,10 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from featherloom.llm.common import table
+from featherloom.llm.mixing import mix_digest
 from featherloom.llm.suffix_array import dedup_digest
 from featherloom.llm.suffix_tree import passage_digest
+from featherloom.llm.top_k import top_k
 from featherloom.llm.url_filter import filter_urls
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -78,3 +80,25 @@ SELECT t.doc_id, CAST(len(words) AS BIGINT) AS n_words,
 FROM t LEFT JOIN a USING (doc_id)""")
 def op9_suffix_tree_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return passage_digest(table(spark, folder, "documents"))
+
+
+@query("""
+WITH v AS (SELECT vec_id, list_transform(embedding,
+                    x -> CAST(floor(1024 * CAST(x AS DOUBLE)) AS BIGINT)) AS e
+           FROM embeddings
+           WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
+             AND NOT list_bool_or(list_transform(embedding, x -> x IS NULL OR NOT isfinite(x)))),
+s AS (SELECT q.vec_id AS query_id, c.vec_id,
+             CAST(list_sum(list_transform(list_zip(q.e, c.e), p -> p[1] * p[2])) AS BIGINT) AS score
+      FROM v q JOIN v c ON q.vec_id % 100 = 0 AND q.vec_id <> c.vec_id),
+r AS (SELECT *, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id)
+                     AS INTEGER) AS rank FROM s)
+SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 10""")
+def op5_exact_top_k(spark: SparkSession, folder: str) -> DataFrame:
+    vectors = table(spark, folder, "embeddings")
+    return top_k(vectors, vectors.where("vec_id % 100 = 0"))
+
+
+@query()
+def op8_source_mixing(spark: SparkSession, folder: str) -> DataFrame:
+    return mix_digest(table(spark, folder, "documents"))
