@@ -7,6 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from featherloom.llm.common import table
+from featherloom.llm.decontaminate import contamination_digest
+from featherloom.llm.html_text import page_texts
 from featherloom.llm.mixing import mix_digest
 from featherloom.llm.suffix_array import dedup_digest
 from featherloom.llm.suffix_tree import passage_digest
@@ -31,6 +33,11 @@ def query(sql: str | None = None) -> Callable[[Query], Query]:
     return register
 
 
+@query()
+def op1_html_extraction(spark: SparkSession, folder: str) -> DataFrame:
+    return page_texts(table(spark, folder, "pages"))
+
+
 @query(r"""
 WITH u AS (
   SELECT page_id, coalesce(url, '') AS url,
@@ -99,6 +106,41 @@ def op5_exact_top_k(spark: SparkSession, folder: str) -> DataFrame:
     return top_k(vectors, vectors.where("vec_id % 100 = 0"))
 
 
+_WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
+_UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+_NEXT = ", ".join(f"lead(word, {i}) OVER d AS w{i}" for i in range(1, 10))
+
+
+@query(rf"""
+WITH b AS (SELECT item_id, regexp_extract_all(translate(text, '{_UPPER}', '{_LOWER}'), '{_WORD}')
+                  AS words FROM benchmark WHERE text IS NOT NULL),
+g AS (SELECT item_id, least(10, len(words)) AS n,
+             unnest(list_transform(range(1, greatest(1, len(words) - 9) + 1),
+                    i -> array_to_string(words[i:i + least(10, len(words)) - 1], ' '))) AS gram
+      FROM b WHERE len(words) > 0),
+t AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), '{_UPPER}', '{_LOWER}'),
+                                        '{_WORD}') AS words FROM documents),
+w AS (SELECT doc_id, unnest(words) AS word, generate_subscripts(words, 1) AS i FROM t),
+s AS (SELECT doc_id, i, word, {_NEXT} FROM w WINDOW d AS (PARTITION BY doc_id ORDER BY i)),
+l AS (SELECT DISTINCT n FROM g),
+h AS (SELECT s.doc_id, s.i, l.n, array_to_string([word, w1, w2, w3, w4, w5, w6, w7, w8, w9][1:n],
+             ' ') AS gram
+      FROM s, l WHERE [word, w1, w2, w3, w4, w5, w6, w7, w8, w9][n] IS NOT NULL),
+m AS (SELECT DISTINCT h.doc_id, h.i, h.n, g.item_id FROM h JOIN g USING (n, gram)),
+hit AS (SELECT doc_id, count(DISTINCT p) AS n_hit
+        FROM (SELECT doc_id, unnest(range(i, i + n)) AS p FROM m) GROUP BY doc_id),
+it AS (SELECT doc_id, count(DISTINCT item_id) AS n_items,
+              string_agg(DISTINCT CAST(item_id AS VARCHAR), ',' ORDER BY CAST(item_id AS VARCHAR))
+              AS names FROM m GROUP BY doc_id)
+SELECT t.doc_id, CAST(len(words) AS BIGINT) AS n_words,
+       CAST(coalesce(n_hit, 0) AS BIGINT) AS n_hit, CAST(coalesce(n_items, 0) AS BIGINT) AS n_items,
+       sha256(coalesce(names, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+FROM t LEFT JOIN hit USING (doc_id) LEFT JOIN it USING (doc_id)""")
+def op7_decontamination(spark: SparkSession, folder: str) -> DataFrame:
+    return contamination_digest(table(spark, folder, "documents"),
+                                table(spark, folder, "benchmark"))
+
+
 @query()
 def op8_source_mixing(spark: SparkSession, folder: str) -> DataFrame:
     return mix_digest(table(spark, folder, "documents"))
