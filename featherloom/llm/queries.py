@@ -9,10 +9,13 @@ from pyspark.sql import DataFrame, SparkSession
 from featherloom.llm.common import table
 from featherloom.llm.decontaminate import contamination_digest
 from featherloom.llm.html_text import page_texts
+from featherloom.llm.jaccard_join import near_duplicate_digest
 from featherloom.llm.mixing import mix_digest
+from featherloom.llm.quality import quality_report
 from featherloom.llm.suffix_array import dedup_digest
 from featherloom.llm.suffix_tree import passage_digest
 from featherloom.llm.top_k import top_k
+from featherloom.llm.toxicity import toxicity_report
 from featherloom.llm.url_filter import filter_urls
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -144,3 +147,32 @@ def op7_decontamination(spark: SparkSession, folder: str) -> DataFrame:
 @query()
 def op8_source_mixing(spark: SparkSession, folder: str) -> DataFrame:
     return mix_digest(table(spark, folder, "documents"))
+
+
+@query(rf"""
+WITH RECURSIVE t AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), '{_UPPER}', '{_LOWER}'),
+                                    '[^\x20\x09-\x0D]+') AS words FROM documents),
+g AS (SELECT DISTINCT doc_id, unnest(list_transform(range(1, greatest(1, len(words) - 2) + 1),
+             i -> array_to_string(words[i:i + 2], ' '))) AS gram FROM t WHERE len(words) > 0),
+n AS (SELECT doc_id, count(*) AS size FROM g GROUP BY doc_id),
+c AS (SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS common
+      FROM g x JOIN g y ON x.gram = y.gram AND x.doc_id <> y.doc_id GROUP BY 1, 2),
+l AS (SELECT a, b FROM c JOIN n p ON p.doc_id = a JOIN n q ON q.doc_id = b
+      WHERE 100 * common >= 90 * (p.size + q.size - common)),
+r(doc_id, reached) AS (SELECT doc_id, doc_id FROM t
+                       UNION SELECT r.doc_id, l.b FROM r JOIN l ON l.a = r.reached)
+SELECT doc_id, CAST(coalesce(size, 0) AS BIGINT) AS n_shingles, min(reached) AS component_id
+FROM r LEFT JOIN n USING (doc_id) GROUP BY doc_id, size""")
+def op4_ngram_jaccard_join(spark: SparkSession, folder: str) -> DataFrame:
+    return near_duplicate_digest(table(spark, folder, "documents"))
+
+
+@query()
+def op6_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    return toxicity_report(table(spark, folder, "documents"), table(spark, folder, "labels"))
+
+
+@query()
+def op10_quality_classifier(spark: SparkSession, folder: str) -> DataFrame:
+    return quality_report(table(spark, folder, "documents"), table(spark, folder, "labels"))

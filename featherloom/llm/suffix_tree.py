@@ -104,34 +104,42 @@ def repeated_windows(items: np.ndarray, lengths: np.ndarray, width: int, budget:
     return np.concatenate(starts), np.concatenate(labels)
 
 
-def _without_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        texts = batch.column(0).cast(pa.large_binary()).to_pylist()
-        starts, ends = batch.column(1).to_pylist(), batch.column(2).to_pylist()
-        n_words, removed, kept = [], [], []
-        for text, a, b in zip(texts, starts, ends, strict=True):
-            words = (text or b"").split()  # at space, tab, line feeds and carriage return
-            n_words.append(len(words))
-            removed.append(sum(b) - sum(a) if a else 0)
-            if a:
-                pieces, at = [], 0
-                for x, y in zip(a, b, strict=True):
-                    pieces += words[at:x]
-                    at = y
-                words = pieces + words[at:]
-            kept.append(b" ".join(words))
-        yield pa.RecordBatch.from_arrays(
-            [*batch.columns[3:], pa.array(n_words, pa.int64()), pa.array(removed, pa.int64()),
-             pa.array(kept, pa.binary()).cast(pa.string())],
-            names=[*batch.schema.names[3:], "n_words", "n_removed", "kept"])
+def _without_words(untouched: bool):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            yield _kept_words(batch, untouched)
+    return run
+
+
+def _kept_words(batch: pa.RecordBatch, untouched: bool) -> pa.RecordBatch:
+    texts = batch.column(0).cast(pa.large_binary()).to_pylist()
+    starts, ends = batch.column(1).to_pylist(), batch.column(2).to_pylist()
+    n_words, removed, kept = [], [], []
+    for text, a, b in zip(texts, starts, ends, strict=True):
+        words = (text or b"").split()  # at space, tab, line feeds and carriage return
+        n_words.append(len(words))
+        removed.append(sum(b) - sum(a) if a else 0)
+        if a:
+            pieces, at = [], 0
+            for x, y in zip(a, b, strict=True):
+                pieces += words[at:x]
+                at = y
+            words = pieces + words[at:]
+        kept.append(text if untouched and not a else b" ".join(words))
+    return pa.RecordBatch.from_arrays(
+        [*batch.columns[3:], pa.array(n_words, pa.int64()), pa.array(removed, pa.int64()),
+         pa.array(kept, pa.binary()).cast(pa.string())],
+        names=[*batch.schema.names[3:], "n_words", "n_removed", "kept"])
 
 
 def dedup_passages(df: DataFrame, id_column: str = "doc_id", text_column: str = "text",
-                   width: int = 13, keep: tuple[str, ...] = ()) -> DataFrame:
+                   width: int = 13, keep: tuple[str, ...] = (), untouched: bool = False
+                   ) -> DataFrame:
     """Removes every word covered by ``width`` words that also start in a document of smaller id.
 
     Windows are judged on the input and never cross texts. Returns the id, the columns of
-    ``keep``, n_words, n_removed and kept (the words left, joined by one space).
+    ``keep``, n_words, n_removed and kept (the words left, joined by one space; with ``untouched``
+    a text that loses nothing is kept as it is).
 
     Null text has no words; texts shorter than ``width`` words stay whole. A null id comes after
     every other id. Rows that share an id never remove anything from each other; repeated rows get
@@ -149,7 +157,7 @@ def dedup_passages(df: DataFrame, id_column: str = "doc_id", text_column: str =
                              T.StructField("kept", T.StringType())])
     return (ranged.select(quoted(text_column).alias(text), quoted(starts), quoted(ends),
                           quoted(id_column), *[quoted(c) for c in keep])
-            .mapInArrow(_without_words, schema))
+            .mapInArrow(_without_words(untouched), schema))
 
 
 def passage_digest(df: DataFrame) -> DataFrame:
