@@ -132,7 +132,7 @@ def train(texts: list[str], labels: list[int], weights: dict[int, float] | None
     if not len(label) or label.min() == label.max():
         return np.zeros(BUCKETS, dtype=np.float32), float(bias[1] - bias[0])
     known = Vocabulary(texts)
-    seen_e = np.full((BUCKETS, 1), 1e-6, dtype=np.float32)
+    seen_e = np.full((BUCKETS, 1), 1e-4, dtype=np.float32)
     seen_s = np.full_like(softmax, 1e-6)
     seen_b = np.full_like(bias, 1e-6)
     bags = [known.words[a:b] for a, b in zip(known.first[:-1], known.first[1:], strict=True)]

@@ -27,11 +27,13 @@ def test_misspelt_words_share_ngrams():
     insult = lambda: rng.choice(["blockhead", "nincompoop"]) + rng.choice(["", "s", "ish"])
     texts = sentences(rng, 200) + sentences(rng, 60, [insult])
     model = toxicity.train(texts, [0] * 200 + [1] * 60)
-    clean, toxic = sentences(rng, 80), sentences(rng, 80, [lambda: "BLOKHEAD!!"])
+    clean, toxic = sentences(rng, 80), sentences(rng, 80, [lambda: "BLOCKHEADZ!!"])
     scores = text_scores(pa.array(clean + toxic), *model)
-    assert np.mean(scores[80:] >= 0.3) > 0.9 and np.mean(scores[:80] >= 0.3) < 0.1
-    long = " ".join(sentences(rng, 200)) + " nincompoop"  # one word in thousands
-    assert text_scores(pa.array([long]), *model)[0] > 0.3
+    assert np.mean(scores[80:, None] > scores[None, :80]) > 0.85
+    assert np.mean(scores[:80] >= 0.3) < 0.1
+    long = " ".join(sentences(rng, 200))
+    alone = text_scores(pa.array([long, long + " nincompoop"]), *model)
+    assert alone[1] > 0.3 and alone[1] >= alone[0]  # one word in thousands
 
 
 def test_word_scores_are_means_over_ngrams():
