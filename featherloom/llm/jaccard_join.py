@@ -6,7 +6,7 @@ each takes tokens in one global order until its signatures survive the loss of a
 rare token is a signature of its own, and tokens of a frequent class count in combinations of two,
 so a class with m tokens in the prefix withstands m - 2 losses. Prefixes get longer for that.
 
-The order puts a fixed share of the tokens (an eighth at 0.9), chosen by hash, first and by rising
+The order puts a fixed share of the tokens (a fifth at 0.9), chosen by hash, first and by rising
 count of nodes; exact counts of these suffice for most prefixes, others go on with uncounted ones. The plan:
 
 1. scan: sets, nodes, and their counted tokens, packed by shard of the token;
@@ -23,7 +23,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterator
 from itertools import combinations
-from math import ceil, log
+from math import log
 
 import numpy as np
 import pyarrow as pa
@@ -37,9 +37,9 @@ from featherloom.llm.repeats import (LAST_ID, PACKED, by_shard, pack, packed_row
 from featherloom.naming import quoted
 
 SHINGLE = 3
-#: One in ``counted_share`` tokens is counted and comes first in the order: a quarter more than a
-#: prefix takes where the tokens are rare.
-MARGIN = 80
+#: Tokens are counted one in so many times 100 - percent, rounded up: about twice what a prefix
+#: takes where the tokens are rare.
+COUNTED = 45
 #: Nodes that make a token frequent.
 FREQUENT = 64
 #: Classes of frequent tokens, by hash.
@@ -85,7 +85,7 @@ def may_lack(size: int, percent: int) -> int:
 
 
 def counted(tokens: np.ndarray, percent: int) -> np.ndarray:
-    return mix(tokens) % np.uint64(max(1, MARGIN // (100 - percent))) == 0
+    return mix(tokens) % np.uint64(-(-COUNTED // (100 - percent))) == 0
 
 
 def _scan(shards: int, percent: int, shingle: int) -> Callable:
@@ -152,7 +152,7 @@ def _scan(shards: int, percent: int, shingle: int) -> Callable:
 
 
 def _count(shards: int) -> Callable:
-    """Sends tokens that several nodes have back to the nodes, with their count."""
+    """Sends tokens that several nodes have back to the nodes, with their count; the rest stays."""
     def run(group: pa.Table) -> pa.Table:
         kinds, blobs = group.column("kind").to_pylist(), group.column("packed").to_pylist()
         entry = unpack(TOKEN, [b for b, k in zip(blobs, kinds, strict=True) if k == 1])
@@ -174,6 +174,8 @@ def _count(shards: int) -> Callable:
                 "count": count[several].astype(np.uint8)}
         rows = [(s, 4, pack(p)) for s, p in by_shard(
             back, (back["node"] % np.uint64(shards)).astype(int))]
+        shard = group.column("shard")[0].as_py()
+        rows += [(shard, k, b) for b, k in zip(blobs, kinds, strict=True) if k in (2, 3, 4)]
         return pa.Table.from_batches([packed_rows(rows, packed_schema())])
     return run
 
@@ -314,13 +316,18 @@ def linked_forest(sets: list[np.ndarray], percent: int, home: np.ndarray) -> lis
 
 def _verify(percent: int) -> Callable:
     def run(group: pa.Table) -> pa.Table:
-        names = group.column("node").to_numpy()
-        _, keep = np.unique(names, return_index=True)
-        group = group.take(pa.array(keep))
-        names = group.column("node").to_numpy()
+        roots, names = (group.column(c).to_numpy() for c in ("root", "node"))
+        order = np.lexsort((names, roots))
+        new = np.ones(len(order), dtype=bool)
+        new[1:] = np.diff(names[order]) != 0   # equal texts of a node come once
+        order = order[new]
+        group, roots, names = group.take(pa.array(order)), roots[order], names[order]
         sets = [np.frombuffer(b, dtype="u8") for b in group.column("tokens").to_pylist()]
         home = np.array(group.column("home").to_pylist(), dtype=bool)
-        links = linked_forest(sets, percent, home)
+        edges = np.append(0, np.append(np.flatnonzero(np.diff(roots)) + 1, len(roots)))
+        links = [(a + x, a + y) for a, b in zip(edges[:-1].tolist(), edges[1:].tolist(),
+                                                strict=True)
+                 for x, y in linked_forest(sets[a:b], percent, home[a:b])]
         return pa.table({"a": pa.array([int(names[x]) for x, _ in links], pa.int64()),
                          "b": pa.array([int(names[y]) for _, y in links], pa.int64())})
     return run
@@ -357,14 +364,12 @@ def near_duplicates(df: DataFrame, id_column: str = "doc_id", text_column: str =
     keyed = df.select(F.coalesce(quoted(id_column).cast("long"), F.lit(LAST_ID)).alias("doc"),
                       F.xxhash64(quoted(text_column)).bitwiseAND(F.lit(0xFFFFFFFF)).alias("tag"),
                       quoted(text_column).alias("text"))
-    scanned = materialise(keyed.mapInArrow(_scan(shards, percent, shingle), PACKED))
-    documents = scanned.where("kind = 2").select("packed").mapInArrow(
-        _documents, "doc long, tag long, node long, size long")
-    documents = materialise(documents)
-    returned = scanned.where("kind in (1, 5)").groupBy("shard").applyInArrow(
-        _count(shards), PACKED)
-    signed = (scanned.where("kind in (3, 4)").unionByName(returned).groupBy("shard")
-              .applyInArrow(_sign(shards, percent), PACKED))
+    scanned = materialise(keyed.mapInArrow(_scan(shards, percent, shingle), PACKED)
+                          .groupBy("shard").applyInArrow(_count(shards), PACKED))
+    documents = materialise(scanned.where("kind = 2").select("packed").mapInArrow(
+        _documents, "doc long, tag long, node long, size long"))
+    signed = scanned.where("kind in (3, 4)").groupBy("shard").applyInArrow(
+        _sign(shards, percent), PACKED)
     candidates = signed.groupBy("shard").applyInArrow(_meet, "a long, b long")
     grouped = components(candidates)
     links = components(_verified(keyed, documents, grouped, percent, shingle))
@@ -381,44 +386,56 @@ def near_duplicates(df: DataFrame, id_column: str = "doc_id", text_column: str =
 
 def _verified(keyed: DataFrame, documents: DataFrame, grouped: DataFrame, percent: int,
               shingle: int) -> DataFrame:
-    """Links among nodes of one candidate component, as a spanning forest of each block."""
-    band = F.floor(F.log(F.col("size")) / F.lit(-log(percent / 100)) + 1e-9)
+    """Links among nodes of one candidate component, as a spanning forest of each block.
+
+    A component of up to BLOCK nodes is verified whole, many of them in one task. A larger one is
+    cut into bands of sizes that at most the next band can link with, and bands into blocks.
+    """
+    spark = keyed.sparkSession
+    band = F.floor(F.log(F.col("size")) / F.lit(-log(percent / 100)) + 1e-9).cast("long")
     chosen = (documents.where("size > 0").groupBy("node")
               .agg(F.min(F.struct("doc", "tag")).alias("one"), F.first("size").alias("size"))
-              .join(grouped, "node")
-              .select("node", "root", "size", F.col("one.doc").alias("doc"),
-                      F.col("one.tag").alias("tag"), band.cast("long").alias("band")))
-    chosen = materialise(chosen)
-    crowd = chosen.groupBy("root", "band").agg(F.ceil(F.count(F.lit(1)) / BLOCK).alias("blocks"))
-    above = crowd.select("root", (F.col("band") - 1).alias("band"),
-                         F.col("blocks").alias("above"))
-    placed = (chosen.join(crowd, ["root", "band"]).join(above, ["root", "band"], "left")
-              .withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks"))))
-    texts = placed.join(keyed.hint("shuffle_merge"), ["doc", "tag"]).where(F.length("text") > 0)
-    sets = texts.select("text", "node", "root", "band", "block", "blocks", "above").mapInArrow(
-        _tokens(shingle), "node long, root long, band long, block long, blocks long, above long, "
-                          "tokens binary")
-    # within a band each block meets itself and every other; the band above meets all of its blocks
-    within = F.transform(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1), lambda i: F.struct(
-        F.col("band").alias("at"), F.least("block", i).alias("i"),
-        F.greatest("block", i).alias("j"), F.lit(True).alias("home")))
-    over = F.transform(F.sequence(F.lit(0).cast("long"), F.coalesce("above", F.lit(1)) - 1),
-                       lambda i: F.struct((F.col("band") + 1).alias("at"),
-                                          (-1 - F.col("block")).alias("i"), i.alias("j"),
-                                          F.lit(False).alias("home")))
-    under = F.transform(F.sequence(F.lit(0).cast("long"), F.coalesce("below", F.lit(1)) - 1),
-                        lambda i: F.struct(F.col("band").alias("at"), (-1 - i).alias("i"),
-                                           F.col("block").alias("j"), F.lit(True).alias("home")))
-    below = crowd.select(F.col("root"), (F.col("band") + 1).alias("band"),
-                         F.col("blocks").alias("below"))
-    sets = sets.join(below, ["root", "band"], "left")
-    none = F.array().cast("array<struct<at:bigint,i:bigint,j:bigint,home:boolean>>")
+              .join(grouped, "node"))
+    count = chosen.groupBy("root").agg(F.count(F.lit(1)).alias("members"))
+    chosen = materialise(chosen.join(count, "root").select(
+        "node", "root", F.col("one.doc").alias("doc"), F.col("one.tag").alias("tag"),
+        F.when(F.col("members") > BLOCK, band).otherwise(F.lit(-1).cast("long")).alias("band")))
+    large = chosen.where("band >= 0")
+    crowd = large.groupBy("root", "band").agg(F.ceil(F.count(F.lit(1)) / BLOCK).alias("blocks"))
+    above = crowd.select("root", (F.col("band") - 1).alias("band"), F.col("blocks").alias("above"))
+    below = crowd.select("root", (F.col("band") + 1).alias("band"), F.col("blocks").alias("below"))
+
+    def meeting(at: F.Column, i: F.Column, j: F.Column, home: bool) -> F.Column:
+        return F.struct(at.alias("at"), i.cast("long").alias("i"), j.cast("long").alias("j"),
+                        F.lit(home).alias("home"))
+
+    def numbers(n: str) -> F.Column:
+        return F.when(F.col(n).isNotNull(), F.sequence(F.lit(0).cast("long"), F.col(n) - 1)) \
+            .otherwise(F.array().cast("array<long>"))
+
+    # within a band each block meets itself and every other; the band above meets all its blocks
+    block = F.col("block")
     meetings = F.concat(
-        F.when((F.col("blocks") > 1) | F.lit(True), within),
-        F.when(F.col("above").isNotNull(), over).otherwise(none),
-        F.when(F.col("below").isNotNull(), under).otherwise(none))
-    return (sets.withColumn("meet", F.explode(meetings))
-            .select("node", "tokens", "root", "meet.*").groupBy("root", "at", "i", "j")
+        F.transform(numbers("blocks"), lambda i: meeting(
+            F.col("band"), F.least(block, i), F.greatest(block, i), True)),
+        F.transform(numbers("above"), lambda i: meeting(F.col("band") + 1, -1 - block, i, False)),
+        F.transform(numbers("below"), lambda i: meeting(F.col("band"), -1 - i, block, True)))
+    banded = (large.join(crowd, ["root", "band"]).join(above, ["root", "band"], "left")
+              .join(below, ["root", "band"], "left")
+              .withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")))
+              .select("doc", "tag", "node", "root", F.col("root").alias("task"),
+                      meetings.alias("meetings")))
+    whole = F.pmod(F.xxhash64("root"), F.lit(16 * partitions(spark)))
+    small = chosen.where("band < 0").select(
+        "doc", "tag", "node", "root", whole.alias("task"),
+        F.array(meeting(F.lit(-1).cast("long"), F.lit(0), F.lit(0), True)).alias("meetings"))
+    placed = banded.unionByName(small)
+    texts = keyed.where(F.length("text") > 0).join(placed.hint("shuffle_hash"), ["doc", "tag"])
+    sets = texts.select("text", "node", "root", "task", "meetings").mapInArrow(
+        _tokens(shingle), "node long, root long, task long, meetings "
+        "array<struct<at:bigint,i:bigint,j:bigint,home:boolean>>, tokens binary")
+    return (sets.withColumn("meet", F.explode("meetings"))
+            .select("node", "tokens", "root", "task", "meet.*").groupBy("task", "at", "i", "j")
             .applyInArrow(_verify(percent), "a long, b long"))
 
 
