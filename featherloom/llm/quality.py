@@ -13,7 +13,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F, types as T
 
-from featherloom.llm.common import held_out
+from featherloom.llm.common import fresh, held_out
 from featherloom.llm.kernels import (LOWER, SPACE, Hasher, mix, owners, text_chunks,
                                      word_bounds)
 from featherloom.llm.toxicity import labelled
@@ -190,7 +190,7 @@ def grade_quality(df: DataFrame, ratings: DataFrame, id_column: str = "doc_id",
     schema = T.StructType([T.StructField(c, types[c]) for c in keep]
                           + [T.StructField("expected_grade", T.DoubleType()),
                              T.StructField("tail", T.ArrayType(T.DoubleType()))])
-    return df.select(quoted(text_column).alias("graded_text"), *[quoted(c) for c in keep]
+    return df.select(quoted(text_column).alias(fresh(df, "graded_text")[0]), *[quoted(c) for c in keep]
                      ).mapInArrow(_grade(model), schema)
 
 

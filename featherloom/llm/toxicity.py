@@ -14,7 +14,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F, types as T
 
-from featherloom.llm.common import held_out
+from featherloom.llm.common import fresh, held_out
 from featherloom.llm.kernels import LOWER, NOT_WORD, Hasher, mix, text_chunks, word_bounds
 from featherloom.naming import quoted
 
@@ -239,7 +239,7 @@ def score_toxicity(df: DataFrame, labels: DataFrame, id_column: str = "doc_id",
     types = {f.name: f.dataType for f in df.schema}
     schema = T.StructType([T.StructField(c, types[c]) for c in keep]
                           + [T.StructField("score", T.DoubleType())])
-    return df.select(quoted(text_column).alias("scored_text"), *[quoted(c) for c in keep]
+    return df.select(quoted(text_column).alias(fresh(df, "scored_text")[0]), *[quoted(c) for c in keep]
                      ).mapInArrow(_score(model), schema)
 
 

@@ -33,7 +33,7 @@ def test_misspelt_words_share_ngrams():
     assert np.mean(scores[:80] >= 0.3) < 0.1
     long = " ".join(sentences(rng, 200))
     alone = text_scores(pa.array([long, long + " nincompoop"]), *model)
-    assert alone[1] > 0.3 and alone[1] >= alone[0]  # one word in thousands
+    assert alone[1] > 0.3 and alone[1] >= alone[0] - 1e-9  # one word in thousands
 
 
 def test_word_scores_are_means_over_ngrams():
