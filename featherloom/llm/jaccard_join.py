@@ -360,7 +360,7 @@ def near_duplicates(df: DataFrame, id_column: str = "doc_id", text_column: str =
     returned as null. Repeated rows are equal in all columns. An empty table gives an empty table.
     ``percent`` must be from 51 to 99.
     """
-    shards = 4 * partitions(df.sparkSession)
+    shards = partitions(df.sparkSession)
     keyed = df.select(F.coalesce(quoted(id_column).cast("long"), F.lit(LAST_ID)).alias("doc"),
                       F.xxhash64(quoted(text_column)).bitwiseAND(F.lit(0xFFFFFFFF)).alias("tag"),
                       quoted(text_column).alias("text"))
