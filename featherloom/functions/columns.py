@@ -68,8 +68,8 @@ def finite(c: Column, dtype: T.DataType) -> Column:
 
 
 def key_digest(key: Column, seed: int) -> Column:
-    """Reproducible pseudo-random order of rows: md5 of key and seed."""
-    return F.md5(F.concat(key.cast("string"), F.lit(f"|{seed}")))
+    """Reproducible pseudo-random order of rows: md5 of key and seed, also of a missing key."""
+    return F.md5(F.concat(F.coalesce(key.cast("string"), F.lit("")), F.lit(f"|{seed}")))
 
 
 def digest_number(digest: Column) -> Column:

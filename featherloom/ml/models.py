@@ -86,16 +86,24 @@ def _translate(kind: str, params: Mapping, report: Report) -> dict:
         out.update(regParam=l1 + l2, elasticNetParam=l1 / (l1 + l2) if l1 + l2 else 0.0)
     for name, value in params.items():
         target = PARAMETERS[kind].get(name)
-        if target:
+        if target and target[0] == "maxDepth":
+            out["maxDepth"] = _depth(kind, value, report)
+        elif target:
             out[target[0]] = target[1](value)
         elif name not in SILENT and name not in ("scale_pos_weight", "class_weight") and not (
                 out and name in ("reg_alpha", "reg_lambda") and kind == "elastic_net"):
             report.skip("fit", f"{kind}.{name}", "no equivalent in MLlib")
-    if "maxDepth" in out:
-        out["maxDepth"] = min(max(out["maxDepth"], 0), MAX_DEPTH)
     return out
 
 
+def _depth(kind: str, value: object, report: Report) -> int:
+    """Tree depth; None and -1 mean no limit, which MLlib has only up to MAX_DEPTH."""
+    if value is None or int(value) < 0 or int(value) > MAX_DEPTH:
+        report.skip("fit", f"{kind}.max_depth", f"{value} becomes MLlib's limit {MAX_DEPTH}")
+        return MAX_DEPTH
+    return int(value)
+
+
 def _estimator(kind: str, params: Mapping, report: Report):
     args = _translate(kind, params, report)
     if kind == "boosted_trees":
@@ -168,14 +176,15 @@ def fit(model: str, params: Mapping, train: DataFrame, label: str = "label",
                   fitted.getNumTrees if kind == "boosted_trees" else None)
 
 
-def _poisson_count(u, mean: float, top: int = 8):
-    """Inverse distribution function of a Poisson count, at most ``top``."""
-    count, mass, cumulated = F.lit(top), np.exp(-mean), 0.0
+def _poisson_count(u, mean: float):
+    """Inverse distribution function of a Poisson count, as far as doubles tell it from 1."""
+    mass, cumulated = np.exp(-mean), 0.0
     steps = []
-    for i in range(top):
+    while cumulated + mass > cumulated or len(steps) <= mean:
         cumulated += mass
-        steps.append((i, cumulated))
-        mass *= mean / (i + 1)
+        steps.append((len(steps), cumulated))
+        mass *= mean / len(steps)
+    count = F.lit(len(steps))
     for i, limit in reversed(steps):
         count = F.when(u < F.lit(float(limit)), F.lit(i)).otherwise(count)
     return count

@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame, Window, functions as F, types as T
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.linalg import VectorUDT
 
-from featherloom.functions.columns import key_digest
+from featherloom.functions.columns import finite, key_digest
 from featherloom.naming import quoted
 
 BLOCK_ROWS = 8192
@@ -29,7 +29,9 @@ def _vectors(df: DataFrame, key: str, features: str, *more: str) -> DataFrame:
     x = quoted(features)
     if isinstance(df.schema[features].dataType, VectorUDT):
         x = vector_to_array(x)
-    return df.select(quoted(key).alias("key"), x.cast("array<double>").alias("x"),
+    # missing coordinates count as 0, infinite ones as the largest number
+    x = F.transform(x.cast("array<double>"), lambda v: finite(v, T.DoubleType()))
+    return df.select(quoted(key).alias("key"), x.alias("x"),
                      *[quoted(c) for c in more])
 
 
@@ -106,14 +108,14 @@ def nearest_rows(train: DataFrame, query: DataFrame, key: str, features: str, k:
                 own = tile["key"].to_numpy()
                 d = distances(np.stack(tile["x"].to_numpy()), y, p)
                 if exclude_self:
-                    d[own[:, None] == names[None, :]] = np.inf
+                    d[own[:, None] == names[None, :]] = np.nan  # sorts last
                 best = np.argsort(d, axis=1, kind="stable")[:, :k]
                 parts.append(pd.DataFrame({
                     "key": np.repeat(own, best.shape[1]), "neighbour": names[best].ravel(),
                     "distance": np.take_along_axis(d, best, axis=1).ravel()}))
         out = pd.concat(parts) if parts else pd.DataFrame(
             {"key": [], "neighbour": [], "distance": []})
-        return out[np.isfinite(out["distance"].to_numpy(dtype=float))]
+        return out[~np.isnan(out["distance"].to_numpy(dtype=float))]
 
     by = ["cell", "block", "chunk"]
     local = asked.groupBy(*by).cogroup(held.groupBy(*by)).applyInPandas(

@@ -74,8 +74,9 @@ def lda(df: DataFrame, columns: Sequence[str], name: str, params: Mapping) -> Da
     df = df.withColumn("__x", F.transform(dense(df, columns),
                                           lambda x: F.greatest(x, F.lit(0.0))))
     df = df.withColumn("__v", array_to_vector("__x"))
+    # every iteration sees every row
     model = LDA(k=k, maxIter=int(params.get("max_iter", 10)), featuresCol="__v",
-                seed=int(params.get("random_state", 42)), topicDistributionCol="__p").fit(df)
+                subsamplingRate=1.0, seed=int(params.get("random_state", 42)), topicDistributionCol="__p").fit(df)
     # MLlib gives an empty row no topics; its mixture is the even prior
     empty = F.aggregate("__x", F.lit(0.0), lambda a, x: a + x) == 0
     mixture = F.when(empty, F.array_repeat(F.lit(1.0 / k), k)).otherwise(vector_to_array("__p"))

@@ -90,7 +90,11 @@ def cross_val_score(train: DataFrame, model: str, params: Mapping, settings: Map
         oof = oof_predict(table, model, params, k, key=key, label=label, features=features,
                           report=report).train_oof
         rows = cross_val_scores(oof, settings.get("eval_metric", "neg_log_loss"), label)
-        scores += [r["score"] for r in rows.collect() if r["score"] is not None]
+        found = [r["score"] for r in rows.collect()]
+        if None in found:
+            ensure(report).skip("cross_val_score", model, "a fold without a score")
+            return float("-inf")
+        scores += found
     return sum(scores) / len(scores) if scores else float("-inf")
 
 

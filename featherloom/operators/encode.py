@@ -47,25 +47,29 @@ def discover_categories(df: DataFrame, columns: Sequence[str],
 def one_hot(df: DataFrame, columns: Sequence[str] | None = None,
             nan_as_category: bool = True,
             categories: Mapping[str, Sequence[str]] | None = None,
-            report: Report | None = None) -> tuple[DataFrame, list[str], list[str]]:
+            report: Report | None = None, limit: int = MAX_CATEGORIES,
+            ) -> tuple[DataFrame, list[str], list[str]]:
     """One 0/1 column per sorted value, plus ``_nan``; sources are dropped.
 
     Returns (table, new columns, source columns). ``None`` or an empty list
-    takes all string columns. Given ``categories`` no job runs.
+    takes all string columns. Given ``categories`` no job runs. More than ``limit``
+    values of a column are an error. Where a value is called ``nan`` itself, the
+    column of the missing value is called ``_null``.
     """
     report = ensure(report)
     present, absent = check_columns(df, columns or categorical_columns(df))
     for c in absent:
         report.skip("one_hot", c, "absent column")
     known = dict(categories or {})
-    known.update(discover_categories(df, [c for c in present if c not in known]))
+    known.update(discover_categories(df, [c for c in present if c not in known], limit))
     made: dict[str, Column] = {}
     for c in present:
         text = quoted(c).cast("string")
         for v in known[c]:
             made[dummy_name(c, v)] = F.when(text == F.lit(v), 1).otherwise(0)
         if nan_as_category:
-            made[dummy_name(c, None)] = F.when(text.isNull(), 1).otherwise(0)
+            name = dummy_name(c, None)
+            made[f"{c}_null" if name in made else name] = F.when(text.isNull(), 1).otherwise(0)
     kept = [quoted(c) for c in df.columns if c not in set(present)]
     return df.select(*kept, *[e.alias(n) for n, e in made.items()]), list(made), present
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections import Counter
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame, functions as F
@@ -58,6 +59,10 @@ def outer_align(frames: Sequence[DataFrame], key: str | Sequence[str]) -> DataFr
     followed by one group-by needs a single shuffle for any number of frames.
     """
     keys = _keys(key)
+    named = Counter(c for f in frames for c in f.columns if c not in keys)
+    twice = sorted(c for c, n in named.items() if n > 1)
+    if twice:
+        raise ValueError(f"columns of several frames: {twice}")
     stacked = frames[0]
     for frame in frames[1:]:
         stacked = stacked.unionByName(frame, allowMissingColumns=True)

@@ -13,7 +13,7 @@ from featherloom.naming import quoted
 from featherloom.operators.aggregate import aggregate_specs, carried_categories
 from featherloom.operators.clean import (
     drop_rows, narrow_types, replace_values, split_labelled)
-from featherloom.operators.encode import factorize, one_hot
+from featherloom.operators.encode import MAX_CATEGORIES, factorize, one_hot
 from featherloom.operators.interact import interaction, row_stats_list
 from featherloom.operators.joins import join_features, rollup_child, union_train_test
 from featherloom.operators.schema import categorical_columns, feature_columns
@@ -42,7 +42,8 @@ def prepare(df: DataFrame, spec: Mapping, key: str, report: Report | None = None
     if spec.get("onehot_encoding", False):
         fixed = spec.get("categories")
         nan = spec.get("nan_as_category", False)
-        df, dummies, sources = one_hot(df, spec.get("onehot_columns"), nan, fixed, report)
+        df, dummies, sources = one_hot(df, spec.get("onehot_columns"), nan, fixed, report,
+                                       spec.get("max_categories", MAX_CATEGORIES))
         # values that were discovered, not declared, occur in at least one row
         found = [s for s in sources if s not in (fixed or {})]
         occurring = [d for d in dummies
@@ -93,7 +94,14 @@ def build_history(tables: Mapping[str, DataFrame], spec: Mapping, name: str, key
             df = rollup_child(df, child_agg, link)
             categories += carried_categories(child_agg, child.dummies)
     result = aggregate_specs(df, own, categories, align, parent.occurring, report=report)
-    out = result[(key,)]
+    for other in result:
+        if other != (key,):
+            report.skip("build_history", name, f"aggregates on {list(other)}, not on {key}")
+    if (key,) in result:
+        out = result[(key,)]
+    else:
+        report.skip("build_history", name, "no aggregate is left")
+        out = df.select(quoted(key)).dropna().distinct()
     return narrow_types(out, keep=[key], report=report) if narrow else out
 
 
