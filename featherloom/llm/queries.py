@@ -94,12 +94,12 @@ def op9_suffix_tree_dedup(spark: SparkSession, folder: str) -> DataFrame:
 
 @query("""
 WITH v AS (SELECT vec_id, list_transform(embedding,
-                    x -> CAST(floor(1024 * CAST(x AS DOUBLE)) AS BIGINT)) AS e
+                    lambda x: CAST(floor(1024 * CAST(x AS DOUBLE)) AS BIGINT)) AS e
            FROM embeddings
            WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
-             AND NOT list_bool_or(list_transform(embedding, x -> x IS NULL OR NOT isfinite(x)))),
+             AND NOT list_bool_or(list_transform(embedding, lambda x: x IS NULL OR NOT isfinite(x)))),
 s AS (SELECT q.vec_id AS query_id, c.vec_id,
-             CAST(list_sum(list_transform(list_zip(q.e, c.e), p -> p[1] * p[2])) AS BIGINT) AS score
+             CAST(list_sum(list_transform(list_zip(q.e, c.e), lambda p: p[1] * p[2])) AS BIGINT) AS score
       FROM v q JOIN v c ON q.vec_id % 100 = 0 AND q.vec_id <> c.vec_id),
 r AS (SELECT *, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id)
                      AS INTEGER) AS rank FROM s)
@@ -119,7 +119,7 @@ WITH b AS (SELECT item_id, regexp_extract_all(translate(text, '{_UPPER}', '{_LOW
                   AS words FROM benchmark WHERE text IS NOT NULL),
 g AS (SELECT item_id, least(10, len(words)) AS n,
              unnest(list_transform(range(1, greatest(1, len(words) - 9) + 1),
-                    i -> array_to_string(words[i:i + least(10, len(words)) - 1], ' '))) AS gram
+                    lambda i: array_to_string(words[i:i + least(10, len(words)) - 1], ' '))) AS gram
       FROM b WHERE len(words) > 0),
 t AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), '{_UPPER}', '{_LOWER}'),
                                         '{_WORD}') AS words FROM documents),
@@ -154,7 +154,7 @@ WITH RECURSIVE t AS (
   SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), '{_UPPER}', '{_LOWER}'),
                                     '[^\x20\x09-\x0D]+') AS words FROM documents),
 g AS (SELECT DISTINCT doc_id, unnest(list_transform(range(1, greatest(1, len(words) - 2) + 1),
-             i -> array_to_string(words[i:i + 2], ' '))) AS gram FROM t WHERE len(words) > 0),
+             lambda i: array_to_string(words[i:i + 2], ' '))) AS gram FROM t WHERE len(words) > 0),
 n AS (SELECT doc_id, count(*) AS size FROM g GROUP BY doc_id),
 c AS (SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS common
       FROM g x JOIN g y ON x.gram = y.gram AND x.doc_id <> y.doc_id GROUP BY 1, 2),
