@@ -5,10 +5,12 @@ from __future__ import annotations
 import json
 import math
 from collections.abc import Callable, Mapping, Sequence
+from threading import Lock
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from featherloom.functions.columns import unit_interval
+from featherloom.ml.matrix import materialise
 from featherloom.ml.models import cross_val_scores, oof_predict
 from featherloom.naming import quoted
 from featherloom.operators.rank import running_best
@@ -85,8 +87,15 @@ def cross_val_score(train: DataFrame, model: str, params: Mapping, settings: Map
                     key: str = "key", label: str = "label", features: str = "features",
                     report: Report | None = None) -> float:
     """Mean score over the folds of the evaluation settings; larger is better."""
+    return _score(_with_fold(train, settings, key, label), model, params, settings, key, label,
+                  features, report)
+
+
+def _score(tables: Sequence[tuple[DataFrame, int]], model: str, params: Mapping,
+           settings: Mapping, key: str, label: str, features: str,
+           report: Report | None) -> float:
     scores: list[float] = []
-    for table, k in _with_fold(train, settings, key, label):
+    for table, k in tables:
         oof = oof_predict(table, model, params, k, key=key, label=label, features=features,
                           report=report).train_oof
         rows = cross_val_scores(oof, settings.get("eval_metric", "neg_log_loss"), label)
@@ -121,6 +130,9 @@ def search(train: DataFrame, task: str, model: str, config: Mapping, key: str =
            parallelism: int = 4, report: Report | None = None) -> tuple[dict, DataFrame]:
     """(best parameters, trial table). ``folder`` stores the parameters by task.
 
+    With a folder every trial is saved when it ends, and so is the best one so far.
+    The split is made and written once, for all trials.
+
     The first ``n_inits`` trials cover the whole space; the others are drawn
     from ranges round the best of them. Trials of a phase run side by side.
     """
@@ -131,17 +143,32 @@ def search(train: DataFrame, task: str, model: str, config: Mapping, key: str =
     calls, inits = int(run.get("n_calls", 15)), int(run.get("n_inits", 10))
     seed = int(run.get("random_state", 42))
     done: list[tuple[int, dict, float]] = []
+    tables = [(materialise(table), k) for table, k in _with_fold(train, settings, key, label)]
+    lock, top_score = Lock(), [float("-inf")]
+
+    def keep(trial: int, params: Mapping, score: float) -> None:
+        with lock:
+            save_params(spark, folder, task, {**fixed, **params}, score, trial)
+            if score > top_score[0]:
+                top_score[0] = score
+                save_params(spark, folder, task, {**fixed, **params}, score)
 
     def phase(first: int, last: int, ranges: Mapping) -> None:
         rows = sample_trials(spark.range(first, last).withColumnRenamed("id", "trial"),
                              ranges, seed).collect()
         drawn_params = [{n: r[n] for n in sorted(ranges)} for r in rows]
 
-        def one(p: Mapping) -> Callable[[], float]:
-            return lambda: cross_val_score(train, model, {**fixed, **p}, settings, key, label,
-                                           features, report)
-
-        scores = run_parallel([one(p) for p in drawn_params], parallelism)
+        def one(trial: int, p: Mapping) -> Callable[[], float]:
+            def scored() -> float:
+                score = _score(tables, model, {**fixed, **p}, settings, key, label, features,
+                               report)
+                if folder:
+                    keep(trial, p, score)
+                return score
+            return scored
+
+        scores = run_parallel([one(r["trial"], p) for r, p in zip(rows, drawn_params)],
+                              parallelism)
         done.extend((r["trial"], p, s) for r, p, s in zip(rows, drawn_params, scores))
 
     first = min(inits, calls)

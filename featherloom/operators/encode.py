@@ -102,9 +102,21 @@ def factorize(df: DataFrame, columns: Sequence[str], order_by: str,
 
 def class_weights(df: DataFrame, target: str, name: str = "class_weight",
                   ) -> DataFrame:
-    """Adds the balanced weight rows / (classes * rows of the class)."""
+    """Adds the balanced weight rows / (classes * rows of the class).
+
+    Up to MAX_CATEGORIES classes become a constant, so no row moves; more are joined.
+    """
     counts = (df.filter(quoted(target).isNotNull()).groupBy(quoted(target))
               .agg(F.count(F.lit(1)).alias("__n")))
+    found = counts.limit(MAX_CATEGORIES + 1).collect()
+    if not found:
+        return df.withColumn(name, F.lit(None).cast("double"))
+    if len(found) <= MAX_CATEGORIES:
+        rows, kind = sum(n for _, n in found), df.schema[target].dataType
+        known = F.map_from_arrays(
+            F.array(*[F.lit(c).cast(kind) for c, _ in found]),
+            F.array(*[F.lit(rows / (len(found) * n)) for _, n in found]))
+        return df.withColumn(name, F.try_element_at(known, quoted(target)))
     sums = counts.agg(F.struct(F.sum("__n").alias("n"), F.count(F.lit(1)).alias("k"))
                       .alias("s")).scalar()
     weights = counts.select(

@@ -12,6 +12,7 @@ from featherloom.naming import quoted
 # A key this many times above 1/HOT_LIMIT of all rows counts as hot, so there
 # are always fewer than HOT_LIMIT hot keys and their table is safe to broadcast.
 HOT_LIMIT = 1000
+# Least number of salts; there are twice as many as shuffle partitions, if that is more.
 HOT_SALTS = 64
 
 
@@ -105,15 +106,17 @@ def lookup_join(rows: DataFrame, table: DataFrame, on: str | Sequence[str],
     is_hot = F.coalesce(quoted(weight) > rows_in_all / F.lit(float(HOT_LIMIT)), F.lit(False))
     # The salt of other keys follows from the key. A constant would be folded into
     # the join condition, and rows would then be partitioned by the key alone.
-    own_salt = F.pmod(F.xxhash64(*[quoted(k) for k in on]), F.lit(HOT_SALTS))
+    salts = max(HOT_SALTS, 2 * int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    own_salt = F.pmod(F.xxhash64(*[quoted(k) for k in on]), F.lit(salts))
     hot = table.filter(is_hot).select(
         *[quoted(k) for k in on],
         F.struct(*[quoted(c).alias(f"p{i}") for i, c in enumerate(payload)]).alias("__hot"))
     cold = table.filter(~is_hot).select(
         *[quoted(k) for k in on], own_salt.alias("__salt"),
         F.struct(*[quoted(c).alias(f"p{i}") for i, c in enumerate(payload)]).alias("__cold"))
-    spread = F.pmod(F.xxhash64(*[quoted(c) for c in rows.columns]),
-                    F.lit(HOT_SALTS)) + HOT_SALTS
+    # equal rows differ by their partition, which a repeated task does not change
+    spread = F.pmod(F.xxhash64(*[quoted(c) for c in rows.columns], F.spark_partition_id()),
+                    F.lit(salts)) + salts
     unmatched = quoted("__hot").isNull()
     for k in on:
         unmatched = unmatched & quoted(k).isNotNull()

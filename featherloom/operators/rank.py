@@ -7,8 +7,10 @@ balance the work: any cuts give the same, exact ranks.
 
 from __future__ import annotations
 
+import json
 from collections import Counter
 from collections.abc import Sequence
+from decimal import Decimal
 
 from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
@@ -17,13 +19,16 @@ from featherloom.naming import quoted
 from featherloom.operators.joins import lookup_join
 
 BUCKETS = 1024
+# Sampled rows per bucket, for cut points of values that are not plain numbers.
+SAMPLED = 32
 # Leading hex digits of a digest that make a bucket: 4096 and 256 of them.
 DIGEST_DIGITS = 3
 HOT_DIGITS = 2
 
 
 def ordered_number(df: DataFrame, column: str) -> Column:
-    """The column as a number with the same order (timestamps as microseconds)."""
+    """The column as a plain value with the same order: times and truth values as numbers,
+    strings, binaries and decimals as they are."""
     dtype = df.schema[column].dataType
     c = quoted(column)
     if isinstance(dtype, T.TimestampNTZType):
@@ -32,13 +37,23 @@ def ordered_number(df: DataFrame, column: str) -> Column:
         return F.unix_micros(c)
     if isinstance(dtype, T.DateType):
         return F.unix_date(c).cast("long")
+    if isinstance(dtype, T.BooleanType):
+        return c.cast("int")
     if isinstance(dtype, (T.FloatType, T.DoubleType)):
         return nan_to_null(c.cast("double"))
     return c
 
 
 def _constant(values: Sequence) -> Column:
-    """Constant array of numbers, sent as one literal."""
+    """Constant array of numbers or strings, sent as one literal."""
+    if isinstance(values[0], str):
+        return F.from_json(F.lit(json.dumps(list(values))), "array<string>")
+    if isinstance(values[0], (bytes, bytearray)):
+        return F.transform(F.split(F.lit(",".join(v.hex() for v in values)), ","), F.unhex)
+    if isinstance(values[0], Decimal):
+        scale = max(-v.as_tuple().exponent for v in values)
+        return F.split(F.lit(",".join(format(v, "f") for v in values)), ",").cast(
+            f"array<decimal(38,{max(0, scale)})>")
     kind = "double" if any(isinstance(v, float) for v in values) else "bigint"
     return F.split(F.lit(",".join(repr(v) for v in values)), ",").cast(f"array<{kind}>")
 
@@ -49,7 +64,33 @@ def range_cuts(df: DataFrame, value: Column, buckets: int = BUCKETS) -> list:
 
 
 def range_cuts_of(df: DataFrame, values: Sequence[Column], buckets: int = BUCKETS) -> list[list]:
-    """Cut points of several columns from one pass over the table."""
+    """Cut points of several columns: quantile sketches of numbers, a sample of other types."""
+    kinds = [f.dataType for f in df.select(*values).schema]
+    plain = [isinstance(k, T.NumericType) and not isinstance(k, T.DecimalType) for k in kinds]
+    numbers = _sketched_cuts(df, [v for v, p in zip(values, plain) if p], buckets)
+    others = _sampled_cuts(df, [v for v, p in zip(values, plain) if not p], buckets)
+    return [numbers.pop(0) if p else others.pop(0) for p in plain]
+
+
+def _sampled_cuts(df: DataFrame, values: Sequence[Column], buckets: int) -> list[list]:
+    """Cut points from about SAMPLED * buckets rows; a frequent value is repeated."""
+    if not values:
+        return []
+    rows = df.count()
+    share = min(1.0, SAMPLED * buckets / max(rows, 1))
+    sample = df.select(*[v.alias(f"c{i}") for i, v in enumerate(values)]).sample(
+        share, seed=1).collect()
+    out = []
+    for i in range(len(values)):
+        found = sorted(r[i] for r in sample if r[i] is not None)
+        out.append([found[len(found) * j // buckets] for j in range(1, buckets)]
+                   if found else [])
+    return out
+
+
+def _sketched_cuts(df: DataFrame, values: Sequence[Column], buckets: int) -> list[list]:
+    if not values:
+        return []
     steps = _constant([i / buckets for i in range(1, buckets)])
     found = df.agg(*[F.percentile_approx(v, steps, 10000).alias(f"c{i}")
                      for i, v in enumerate(values)]).first()
@@ -151,7 +192,10 @@ def exact_quantiles(df: DataFrame, column: str, quantiles: Sequence[float],
             return F.max(F.when(inside, value))
 
         share = F.max(place - lower)
-        aggregates.append((at(lower) + (at(upper) - at(lower)) * share).alias(name))
+        low, high = at(lower), at(upper)
+        # infinite neighbours have no difference
+        aggregates.append(F.when(low == high, low)
+                          .otherwise(nan_to_null(low + (high - low) * share)).alias(name))
     keys = [quoted(k) for k in by]
     return positions.groupBy(*keys).agg(*aggregates) if by else positions.agg(*aggregates)
 

@@ -9,14 +9,15 @@ from functools import partial
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from featherloom.ml.reduce import decompose
-from featherloom.naming import quoted
+from featherloom.naming import dummy_name, quoted
 from featherloom.operators.aggregate import aggregate_specs, carried_categories
 from featherloom.operators.clean import (
     drop_rows, narrow_types, replace_values, split_labelled)
-from featherloom.operators.encode import MAX_CATEGORIES, factorize, one_hot
+from featherloom.operators.encode import (
+    MAX_CATEGORIES, discover_categories, factorize, one_hot)
 from featherloom.operators.interact import interaction, row_stats_list
 from featherloom.operators.joins import join_features, rollup_child, union_train_test
-from featherloom.operators.schema import categorical_columns, feature_columns
+from featherloom.operators.schema import categorical_columns, check_columns, feature_columns
 from featherloom.parallel import run_parallel
 from featherloom.report import Report, ensure
 from featherloom.sources.store import any_empty, load_tables, read_store, write_store
@@ -40,14 +41,15 @@ def prepare(df: DataFrame, spec: Mapping, key: str, report: Report | None = None
     dummies: list[str] = []
     occurring: list[str] = []
     if spec.get("onehot_encoding", False):
-        fixed = spec.get("categories")
+        fixed = spec.get("categories") or {}
         nan = spec.get("nan_as_category", False)
-        df, dummies, sources = one_hot(df, spec.get("onehot_columns"), nan, fixed, report,
-                                       spec.get("max_categories", MAX_CATEGORIES))
+        asked = spec.get("onehot_columns")
+        present, _ = check_columns(df, asked or categorical_columns(df))
+        found = discover_categories(df, [c for c in present if c not in fixed],
+                                    spec.get("max_categories", MAX_CATEGORIES))
+        df, dummies, _ = one_hot(df, asked, nan, {**found, **fixed}, report)
         # values that were discovered, not declared, occur in at least one row
-        found = [s for s in sources if s not in (fixed or {})]
-        occurring = [d for d in dummies
-                     if any(d.startswith(f"{s}_") for s in found) and not d.endswith("_nan")]
+        occurring = [dummy_name(c, v) for c, values in found.items() for v in values]
     else:
         dummies = [c for c in categorical_columns(df) if spec.get("string_categories")]
     df = replace_values(df, spec.get("replace_rows", {}), report)

@@ -18,6 +18,7 @@ from featherloom.report import Report, ensure
 log = logging.getLogger("featherloom")
 
 _EMPTY = T.StructType([])
+_LISTING = "table string, folder string"
 
 
 def shared_folder(spark: SparkSession) -> str:
@@ -47,6 +48,11 @@ def _children(spark: SparkSession, path: str) -> list[str]:
     return sorted(s.getPath().getName() for s in fs.listStatus(hadoop) if s.isDirectory())
 
 
+def _remove(spark: SparkSession, path: str) -> None:
+    hadoop = spark._jvm.org.apache.hadoop.fs.Path(path)
+    hadoop.getFileSystem(spark._jsc.hadoopConfiguration()).delete(hadoop, True)
+
+
 def empty_table(spark: SparkSession) -> DataFrame:
     return spark.createDataFrame([], _EMPTY)
 
@@ -90,8 +96,11 @@ def write_store(spark: SparkSession, path: str, tables: Mapping[str, DataFrame],
     """One Parquet sub-directory per table; False if it exists and may not be replaced.
 
     ``fast`` prefers speed to size (snappy rather than zstd). Tables already in
-    the store but not in ``tables`` are emptied out of its listing.
+    the store but not in ``tables`` leave it. Every write goes to new folders; the
+    listing follows last, and the folders it named before are removed after it, so a
+    job that dies leaves the old tables, or a store that counts as missing.
     """
+    version = uuid.uuid4().hex[:12]
     if path_exists(spark, path):
         if not overwrite:
             log.warning("store %s exists, overwrite is not allowed", path)
@@ -103,29 +112,38 @@ def write_store(spark: SparkSession, path: str, tables: Mapping[str, DataFrame],
             writer = df.write.mode("overwrite").option("compression", codec)
             if partition_by and name in partition_by:
                 writer = writer.partitionBy(partition_by[name])
-            writer.parquet(f"{path}/{name}")
+            writer.parquet(f"{path}/{name}-{version}")
         return write
 
+    before = _listing(spark, path)
+
     run_parallel([one(n, df) for n, df in tables.items()])
-    listing = spark.createDataFrame([(n,) for n in tables], "table string")
+    listing = spark.createDataFrame([(n, f"{n}-{version}") for n in tables], _LISTING)
     listing.coalesce(1).write.mode("overwrite").json(f"{path}/_tables")
+    for folder in before.values():
+        _remove(spark, f"{path}/{folder}")
     return True
 
 
-def stored_names(spark: SparkSession, path: str) -> list[str]:
-    if not path_exists(spark, path):
-        return []
-    rows = spark.read.schema("table string").json(f"{path}/_tables").collect()
+def _listing(spark: SparkSession, path: str) -> dict[str, str]:
+    """Folder of every table; a store without a listing has none."""
+    if not path_exists(spark, f"{path}/_tables"):
+        return {}
+    rows = spark.read.schema(_LISTING).json(f"{path}/_tables").collect()
     have = set(_children(spark, path))
-    return sorted(r["table"] for r in rows if r["table"] in have)
+    return {r["table"]: r["folder"] for r in rows if r["folder"] in have}
+
+
+def stored_names(spark: SparkSession, path: str) -> list[str]:
+    return sorted(_listing(spark, path))
 
 
 def read_store(spark: SparkSession, path: str, tables: Sequence[str] | None = None,
                ) -> dict[str, DataFrame]:
     """All or the named tables; a missing name, or store, gives empty tables."""
-    have = stored_names(spark, path)
-    wanted = have if tables is None else list(tables)
-    return {t: spark.read.parquet(f"{path}/{t}") if t in have else empty_table(spark)
+    have = _listing(spark, path)
+    wanted = sorted(have) if tables is None else list(tables)
+    return {t: spark.read.parquet(f"{path}/{have[t]}") if t in have else empty_table(spark)
             for t in wanted}
 
 
