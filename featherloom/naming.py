@@ -57,6 +57,11 @@ def format_run_name(level: Column, model: Column, feature_num: Column,
     )
 
 
+def run_folder(name: str) -> str:
+    """A run name as a folder name: readers take square brackets for a pattern."""
+    return name.replace("[", "(").replace("]", ")")
+
+
 def parse_run_name(name: Column) -> dict[str, Column]:
     """Columns read back from a run name, also with a prefix or file ending.
 

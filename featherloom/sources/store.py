@@ -10,7 +10,7 @@ from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
-from featherloom.naming import quoted
+from featherloom.naming import quoted, run_folder
 from featherloom.operators.clean import normalise_missing
 from featherloom.parallel import run_parallel
 from featherloom.report import Report, ensure
@@ -185,7 +185,7 @@ def write_meta_features(spark: SparkSession, folder: str, prefix: str, run: str,
                         train: DataFrame, test: DataFrame, level: int = 1) -> list[str]:
     """Stores the pair under the run name and again as the latest of its level."""
     kind = "meta_features" if level == 1 else "meta_stackers"
-    versioned = f"{folder}/{prefix}_{run}_{kind}"
+    versioned = f"{folder}/{prefix}_{run_folder(run)}_{kind}"
     latest = f"{folder}/{prefix}_{kind}"
     write_store(spark, versioned, {"train_meta": train, "test_meta": test})
     # the second copy reads the written tables, so nothing is computed twice
