@@ -36,6 +36,16 @@ def encode_factorize(spark: SparkSession, folder: str) -> DataFrame:
     return factorize(rows, ["status", "o_orderpriority", "absent"], "o_orderkey")
 
 
+@query("encode_factorize_string_key", fx.FX + """, first as (
+  select status, row_number() over (order by min(cast(o_orderkey as varchar))) - 1 as code
+  from fx_prev where status is not null group by status)
+select cast(o_orderkey as varchar) as o_orderkey, cast(coalesce(code, -1) as int) as status
+from fx_prev left join first using (status)""")
+def encode_factorize_string_key(spark: SparkSession, folder: str) -> DataFrame:
+    rows = fx.prev(spark, folder).select(F.col("o_orderkey").cast("string"), "status")
+    return factorize(rows, ["status"], "o_orderkey")
+
+
 @query("class_weights", fx.FX + """, sizes as (
   select target, count(*) as n from fx_main where target is not null group by target)
 select c_custkey, target, (select sum(n) from sizes) / ((select count(*) from sizes) * n)
@@ -56,6 +66,14 @@ def _reduced(spark: SparkSession, folder: str, name: str, kind: str,
     return out.select("vec_id", *[c for c in out.columns if c.startswith(f"{name}_")])
 
 
+@query("reduce_lda_mixture", "select vec_id, 1.0::double as whole from embeddings")
+def reduce_lda_mixture(spark: SparkSession, folder: str) -> DataFrame:
+    """Every vector has one topic mixture, and its parts sum to 1."""
+    out = reduce_lda(spark, folder)
+    parts = [F.col(c) for c in out.columns if c != "vec_id"]
+    return out.select("vec_id", F.round(sum(parts, F.lit(0.0)), 6).alias("whole"))
+
+
 @query("reduce_svd")
 def reduce_svd(spark: SparkSession, folder: str) -> DataFrame:
     return _reduced(spark, folder, "SVD", "TruncatedSVD", {"n_components": 4})

@@ -12,11 +12,13 @@ from featherloom.ml.matrix import assemble, materialise
 from featherloom.ml.models import OutOfFold, cross_val_scores, fit, nb_class_stats, \
     oof_predict, refit_full
 from featherloom.ml.neighbours import knn_votes
+from featherloom.ml.runs import load_external, produce_oof
 from featherloom.ml.search import integer, real, sample_trials, search
 from featherloom.ml.stack import (
     resolve_params, stack_fit_predict, stack_fit_transform, stack_meta_inputs)
 from featherloom.operators.clean import split_labelled
 from featherloom.operators.encode import one_hot
+from featherloom.operators.joins import union_rows
 from featherloom.operators.schema import feature_columns
 from featherloom.operators.splits import stratified_kfold
 from featherloom.queries import fixtures as fx
@@ -166,6 +168,42 @@ def model_importance(spark: SparkSession, folder: str) -> DataFrame:
     return run.importances
 
 
+@query("model_oof_coverage", """
+select doc_id, cast(1 as bigint) as n, true as valid from documents join labels using (doc_id)
+where quality is not null""")
+def model_oof_coverage(spark: SparkSession, folder: str) -> DataFrame:
+    """Every labelled document is predicted exactly once."""
+    return model_oof(spark, folder).where("part = 'train_oof'").groupBy("doc_id").agg(
+        F.count(F.lit(1)).alias("n"), F.bool_and(F.col("proba").between(0, 1)).alias("valid"))
+
+
+@query("model_importance_sums", """
+select unnest([1, 2, 3])::int as fold, 1.0::double as whole
+where (select count(*) from documents) > 0""")
+def model_importance_sums(spark: SparkSession, folder: str) -> DataFrame:
+    """The importances of each fold's model sum to 1."""
+    return model_importance(spark, folder).groupBy("fold").agg(
+        F.round(F.sum("importance"), 6).alias("whole"))
+
+
+@query("stack_bundles", """
+select doc_id, run, case when quality is null then 'test' else 'train' end as part, true as valid
+from documents left join labels using (doc_id), (select unnest([0, 1])::int as run)""")
+def stack_bundles(spark: SparkSession, folder: str) -> DataFrame:
+    """Out-of-fold runs with a plain and a stratified split, written and read back by name."""
+    train, test, columns = _documents(spark, folder)
+    store = shared_folder(spark)
+    keys = ["doc_id", *columns]
+    names = produce_oof(train.select(*keys, "target"), test.select(*keys), "SGDClassifier",
+                        {"max_iter": 5}, store, "doc_id", "target", n_folds=2,
+                        early_stopping=False)
+    halves = zip(("train", "test"), load_external(spark, store, {"A": names}))
+    return union_rows([
+        rows.select("doc_id", F.lit(i).alias("run"), F.lit(part).alias("part"),
+                    F.col("proba").between(0, 1).alias("valid"))
+        for part, found in halves for i, rows in enumerate(found["A"])])
+
+
 SPACE = {
     "learning_rate": real(1e-3, 1e-1, "log-uniform"),
     "subsample": real(0.6, 0.9),

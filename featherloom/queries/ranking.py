@@ -26,6 +26,18 @@ def win_pct_rank(spark: SparkSession, folder: str) -> DataFrame:
     return pct_rank(rows, ["l_discount", "l_quantity"], "_pct")
 
 
+@query("win_pct_rank_decimal", """
+select l_orderkey, l_linenumber, price, (rank() over (order by price)
+  + (count(*) over (partition by price) - 1) / 2) / count(*) over () as price_pct
+from (select l_orderkey, l_linenumber, cast(floor(l_extendedprice / 8) as double) as price
+      from lineitem)""")
+def win_pct_rank_decimal(spark: SparkSession, folder: str) -> DataFrame:
+    rows = fx.table(spark, folder, "lineitem").select(
+        "l_orderkey", "l_linenumber",
+        F.floor(F.col("l_extendedprice") / 8).cast("decimal(20,4)").alias("price"))
+    return pct_rank(rows, ["price"], "_pct").withColumn("price", F.col("price").cast("double"))
+
+
 @query("win_best_so_far", fx.FX + """
 select task, trial, score, max(score) over (
   partition by task order by trial rows unbounded preceding) as best_score from fx_trials""")
