@@ -28,6 +28,8 @@ PASSAGE = 20
 STEPS, BATCH, REVIEW, RATE = 480, 64, 40, 0.5
 #: Most labelled rows of each label that the fit reads, first in order of a hash of the id.
 MOST_ROWS = 1500
+#: Bytes of text that the fit takes apart at once, on the driver.
+FIT_CHUNK = 1 << 17
 #: Score from which a text counts as toxic.
 THRESHOLD = 0.3
 
@@ -64,13 +66,19 @@ class Chunk:
             count += inside
         return total / count
 
-    def word_buckets(self, which: np.ndarray) -> list[np.ndarray]:
-        """Buckets of the chosen words."""
-        parts = [self.whole()[which][:, None]]
-        grams = [self.grams(n) for n in range(NGRAMS[0], NGRAMS[1] + 1)]
-        return [np.concatenate([parts[0][i], *[b[self.starts[w]:self.starts[w] + inside[w]]
-                                               for b, inside in grams]])
-                for i, w in enumerate(which.tolist())]
+    def word_buckets(self, which: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(buckets of the chosen words laid end to end, number of buckets of each word)."""
+        kinds = [(self.whole()[which], np.arange(len(which)), np.ones(len(which), dtype=int))]
+        for n in range(NGRAMS[0], NGRAMS[1] + 1):
+            buckets, inside = self.grams(n)
+            kinds.append((buckets, self.starts[which], inside[which]))
+        sizes = sum(count for _, _, count in kinds)
+        out, at = np.empty(sizes.sum(), dtype=np.int32), np.cumsum(sizes) - sizes
+        for buckets, start, count in kinds:
+            within = np.arange(count.sum()) - np.repeat(np.cumsum(count) - count, count)
+            out[np.repeat(at, count) + within] = buckets[np.repeat(start, count) + within]
+            at = at + count
+        return out, sizes
 
 
 def worst_passages(scores: np.ndarray, first: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -95,23 +103,27 @@ class Vocabulary:
     """The texts' words as indices, each with its buckets laid end to end."""
 
     def __init__(self, texts: list[str]) -> None:
-        hasher, hashes, firsts, found, base = Hasher(), [], [], {}, 0
-        for _, _, data, offsets in text_chunks(pa.array(texts, pa.string())):
+        hasher, base, keys = Hasher(), 0, np.zeros(0, dtype=np.uint64)
+        hashes, firsts = [np.zeros(0, dtype=np.uint64)], [np.zeros(0, dtype=np.int64)]
+        parts, sizes = [np.zeros(0, dtype=np.int32)], [np.zeros(0, dtype=np.int64)]
+        for _, _, data, offsets in text_chunks(pa.array(texts, pa.string()), FIT_CHUNK):
             chunk = Chunk(hasher, data, offsets)
             unique, at = np.unique(chunk.words, return_index=True)
-            new = [i for i, u in enumerate(unique.tolist()) if u not in found]
-            for i, buckets in zip(new, chunk.word_buckets(at[new]), strict=True):
-                found[int(unique[i])] = buckets
+            new = ~np.isin(unique, keys)
+            buckets, counts = chunk.word_buckets(at[new])
+            keys = np.concatenate([keys, unique[new]])
+            parts.append(buckets)
+            sizes.append(counts)
             hashes.append(chunk.words)
             firsts.append(chunk.first[:-1] + base)
             base += len(chunk.words)
-        keys = np.array(sorted(found), dtype=np.uint64)
-        self.words = np.searchsorted(keys, np.concatenate(hashes))
+        order = np.argsort(keys)
+        place, ordered = order.astype(np.int32), keys[order]
+        self.words = np.concatenate([place[np.searchsorted(ordered, h)] for h in hashes])
         self.first = np.append(np.concatenate(firsts), base)
-        parts = [found[k] for k in keys.tolist()]
-        self.sizes = np.array([len(p) for p in parts], dtype=np.int64)
+        self.sizes = np.concatenate(sizes)
         self.start = np.cumsum(self.sizes) - self.sizes
-        self.buckets = np.concatenate(parts) if parts else np.zeros(0, dtype=np.int64)
+        self.buckets = np.concatenate(parts)
 
     def word_means(self, values: np.ndarray) -> np.ndarray:
         return np.add.reduceat(values[self.buckets], self.start) / self.sizes if len(
@@ -158,7 +170,10 @@ def train(texts: list[str], labels: list[int], weights: dict[int, float] | None
         vectors = np.zeros((len(batch), DIMENSIONS), dtype=np.float32)
         edges = np.flatnonzero(np.append(True, of[1:] != of[:-1])) if len(of) else []
         if len(of):
-            vectors[of[edges]] = np.add.reduceat(embedding[bucket] * pull[:, None], edges, 0)
+            pulled = embedding[bucket]
+            pulled *= pull[:, None]
+            vectors[of[edges]] = np.add.reduceat(pulled, edges, 0)
+            del pulled
         logits = vectors @ softmax + bias
         odds = np.exp(logits - logits.max(1, keepdims=True))
         odds /= odds.sum(1, keepdims=True)
@@ -168,7 +183,10 @@ def train(texts: list[str], labels: list[int], weights: dict[int, float] | None
         grad_s, grad_b = vectors.T @ odds / len(batch), odds.mean(0)
         used, inverse = np.unique(bucket, return_inverse=True)
         grad = np.zeros((len(used), DIMENSIONS), dtype=np.float32)
-        np.add.at(grad, inverse, to_vectors[of] * pull[:, None])
+        pushed = to_vectors[of]
+        pushed *= pull[:, None]
+        np.add.at(grad, inverse, pushed)
+        del pushed
         seen_e[used] += (grad ** 2).mean(1, keepdims=True)
         embedding[used] -= RATE * grad / np.sqrt(seen_e[used])
         seen_s += grad_s ** 2
