@@ -26,14 +26,15 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each class of near duplicates: the one with the least id.
 
-    Documents without words stay, as they resemble nothing. Of repeated rows one stays.
+    Documents without words stay, as they resemble nothing. Of repeated rows one stays. Rows with a
+    null id, or with one id and unlike texts, are documents of their own; of a class with equal
+    least ids the text with the least hash stays.
     """
-    doc, tag = fresh(docs, "doc_order", "text_tag")
+    doc, tag, full = fresh(docs, "doc_order", "text_tag", "text_hash")
     classes = materialise(near_duplicates(docs, percent=SIMILARITY, shingle=SHINGLE)
                           .where("n_shingles > 0"))
-    first = (classes.groupBy(F.coalesce("component_id", F.lit(LAST_ID)).alias("component"))
-             .agg(F.min(F.struct("doc_order", "text_tag")).alias("one"),
-                  F.count(F.lit(1)).alias("n"))
+    first = (classes.groupBy("class_root")
+             .agg(F.min(F.struct("doc_order", "text_tag")).alias("one"))
              .select(F.col("one.doc_order").alias(doc), F.col("one.text_tag").alias(tag)))
     keyed = docs.withColumns({
         doc: F.coalesce(quoted("doc_id"), F.lit(LAST_ID)),
@@ -42,7 +43,8 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
     kept = keyed.where(~empty).join(first.hint("shuffle_hash"), [doc, tag])
     repeated = classes.groupBy("doc_order", "text_tag").count().where("count > 1")
     if not repeated.isEmpty():
-        kept = kept.dropDuplicates([doc, tag])
+        # texts of one id can share the short tag
+        kept = kept.withColumn(full, F.xxhash64("text")).dropDuplicates([doc, full]).drop(full)
     return kept.unionByName(keyed.where(empty)).select(*docs.columns)
 
 

@@ -353,7 +353,9 @@ def near_duplicates(df: DataFrame, id_column: str = "doc_id", text_column: str =
 
     Two documents link if 100 * common shingles >= ``percent`` * all shingles of both. Returns
     doc_order (the id, or the greatest long for null), text_tag (32 bits of hash of the text),
-    n_shingles and component_id (least id of the class; the row's own id if nothing links).
+    n_shingles, component_id (least id of the class; the row's own id if nothing links) and
+    class_root (hash that names the class; null without shingles). Ids may be null or repeat, so
+    only class_root tells classes apart.
 
     A text of fewer than ``shingle`` words, but not none, has them as its one shingle. Null and
     empty texts have no shingles and link with nothing. A null id comes after all others and is
@@ -376,12 +378,12 @@ def near_duplicates(df: DataFrame, id_column: str = "doc_id", text_column: str =
     nodes = documents.where("size > 0").groupBy("node").agg(F.min("doc").alias("least"))
     rooted = nodes.join(links, "node", "left").withColumn("root", F.coalesce("root", "node"))
     least = rooted.groupBy("root").agg(F.min("least").alias("component"))
-    classes = rooted.join(least, "root").select("node", "component")
+    classes = rooted.join(least, "root").select("node", "component", "root")
     own = F.when(F.col("size") > 0, F.col("component")).otherwise(F.col("doc"))
     return (documents.join(classes, "node", "left")
             .select(F.col("doc").alias("doc_order"), F.col("tag").alias("text_tag"),
                     F.col("size").alias("n_shingles"), F.nullif(own, F.lit(LAST_ID))
-                    .alias("component_id")))
+                    .alias("component_id"), F.col("root").alias("class_root")))
 
 
 def _verified(keyed: DataFrame, documents: DataFrame, grouped: DataFrame, percent: int,

@@ -84,3 +84,15 @@ def test_nulls_and_repeats(spark, folder):
         assert stage(spark, docs, folder).columns[:5] == COLUMNS
         assert stage(spark, docs, folder).count() <= 7
         assert stage(spark, docs.limit(0), folder).count() == 0
+
+
+def test_unlike_texts_with_null_or_equal_ids_stay(spark, folder):
+    texts = [(None, "one two three four five six"), (None, "red green blue pink grey black"),
+             (None, "ONE two three four five six"), (5, "north south east west up down"),
+             (5, "iron gold tin lead zinc copper"), (5, "iron gold tin lead zinc copper")]
+    docs = spark.createDataFrame([(d, t, "en", "s", len(t)) for d, t in texts],
+                                 "doc_id long, text string, lang string, source string, "
+                                 "n_chars long")
+    kept = pipeline.drop_near_duplicates(spark, docs, folder).collect()
+    assert sorted((r.doc_id or 0, r.text.lower()) for r in kept) == [
+        (0, texts[0][1]), (0, texts[1][1]), (5, texts[4][1]), (5, texts[3][1])]
