@@ -69,14 +69,18 @@ def pca(df: DataFrame, columns: Sequence[str], name: str, params: Mapping) -> Da
 
 
 def lda(df: DataFrame, columns: Sequence[str], name: str, params: Mapping) -> DataFrame:
-    """Topic mixture of the columns; negative values count as 0."""
+    """Topic mixture of the columns; negative values count as 0.
+
+    Fitted by EM, which passes over every row in each iteration; MLlib's online optimiser draws its
+    rows with replacement even at a rate of 1. The priors are the uniform ones of 1/k, as EM counts.
+    """
     k = int(params.get("n_components", 10))
     df = df.withColumn("__x", F.transform(dense(df, columns),
                                           lambda x: F.greatest(x, F.lit(0.0))))
     df = df.withColumn("__v", array_to_vector("__x"))
-    # every iteration sees every row
-    model = LDA(k=k, maxIter=int(params.get("max_iter", 10)), featuresCol="__v",
-                subsamplingRate=1.0, seed=int(params.get("random_state", 42)), topicDistributionCol="__p").fit(df)
+    model = LDA(k=k, maxIter=int(params.get("max_iter", 10)), featuresCol="__v", optimizer="em",
+                docConcentration=[1 + 1 / k], topicConcentration=1 + 1 / k,
+                seed=int(params.get("random_state", 42)), topicDistributionCol="__p").fit(df)
     # MLlib gives an empty row no topics; its mixture is the even prior
     empty = F.aggregate("__x", F.lit(0.0), lambda a, x: a + x) == 0
     mixture = F.when(empty, F.array_repeat(F.lit(1.0 / k), k)).otherwise(vector_to_array("__p"))

@@ -77,3 +77,27 @@ def test_topics_of_every_row(spark):
     sums = np.array([sum(r[c] for c in out.columns if c.startswith("t_")) for r in out.collect()])
     assert len(sums) == 60 and np.allclose(sums, 1)
 
+
+def test_each_row_moves_the_topics(spark):
+    rows = np.random.default_rng(0).integers(1, 9, (8, 4)).astype(float)
+
+    def mixtures(x):
+        df = spark.createDataFrame([(i, *map(float, r)) for i, r in enumerate(x)],
+                                   "k long, a double, b double, c double, d double").coalesce(1)
+        out = reduce.lda(df, list("abcd"), "t", {"n_components": 2, "max_iter": 1})
+        return {r.k: r.t_1 for r in out.collect()}
+
+    before = mixtures(rows)
+    for i in range(len(rows)):
+        changed = rows.copy()
+        changed[i] = changed[i][::-1] * [1, 5, 2, 9]
+        after = mixtures(changed)
+        assert max(abs(after[j] - before[j]) for j in before if j != i) > 1e-7, i
+
+
+def test_topics_with_columns_and_rows_of_nothing(spark):
+    rows = [(1, 2.0, 0.0, 1.0), (2, 0.0, 0.0, 3.0), (3, 0.0, 0.0, 0.0), (4, 5.0, -1.0, None)]
+    df = spark.createDataFrame(rows, "k long, a double, b double, c double")
+    for frame, n in ((df, 4), (df.where("k = 3"), 1)):
+        out = reduce.lda(frame, ["a", "b", "c"], "t", {"n_components": 2, "max_iter": 2}).collect()
+        assert len(out) == n and np.allclose([r.t_1 + r.t_2 for r in out], 1)
