@@ -2,7 +2,8 @@
 
 First pass: every page is parsed, its containers are scored, and the path of tags and classes that
 leads to the best one, with digits generalised, is its vote. Spark sums the votes of each host and
-keeps the winning path. Second pass: the elements on the host's path are extracted; a page without
+keeps the winning path. Names that mark what is not the article cut an element only
+where the page has its text elsewhere. Second pass: the elements on the host's path are extracted; a page without
 such an element falls back to its own best container.
 """
 
@@ -22,6 +23,8 @@ from featherloom.naming import quoted
 
 #: Share of a container's text that a child must hold to be chosen in its place.
 DOMINANT = 0.6
+#: A marked element is the article if it holds most of the text, and so many times what is unmarked.
+OUTWEIGHS = 10
 
 # Element names of HTML.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
@@ -55,6 +58,19 @@ NOT_ARTICLE = re.compile(
     r"cookie\w*|consent|gdpr|notice\w*|alert|popup|pop-up|modal|overlay|newsletter|subscri\w*|"
     r"signup|login|share|sharing|social\w*|related|recommend\w*|trending|widget\w*|search\w*|form|"
     r"skip|copyright|legal|complementary|contentinfo|hidden)(?:$|[\s_\-\d])", re.I)
+#: Names that only speak of such parts, or are the article's own, and do not mark an element.
+NO_MARK = re.compile(
+    r"(?:^|(?<=\s))(?:\S*?[_\-])?(?:(?:has|have|no|not|with|without)[_\-]\S*|"
+    r"(?:entry|post|article|story|page|content)[_\-]header)(?=\s|$)", re.I)
+#: Names of parts that often hold articles of their own, such as comments and teasers.
+FOREIGN = re.compile(r"comment|repl(?:y|ies)|respond|disq|discussion|related|recommend|trending|"
+                     r"widget|promo|sponsor|(?:^|[\s_\-])ad(?:s|vert\w*|box)?(?:$|[\s_\-\d])", re.I)
+#: Names of an article or of what holds it, as whole names.
+ARTICLE_NAME = re.compile(
+    r"(?:^|(?<=\s))(?:(?:page|site|main|post|entry|article|content|body|layout)[_\-]?"
+    r"(?:container|wrapper|wrap|content|body|inner|main|area)?|container|wrapper|wrap|story|text)"
+    r"(?=[\d\s]|$)", re.I)
+HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 
 TOKEN = re.compile(
     r"<!--(?:.*?-->|>|->)|<!--.*|<[!?][^>]*>?|"
@@ -65,19 +81,26 @@ BARE_HIDDEN = re.compile(r"(?:^|\s)hidden(?:$|[\s/=])", re.I)
 DIGITS = re.compile(r"\d+")
 
 
+#: What the names of an element say: nothing, not the article, that and the article, or that it
+#: holds articles of others.
+PLAIN, MARKED, MIXED, OTHERS = 0, 1, 2, 3
+
+
 class Element:
-    __slots__ = ("tag", "path", "parent", "skipped", "parts", "size")
+    __slots__ = ("tag", "path", "parent", "skipped", "parts", "size", "mark")
 
-    def __init__(self, tag: str, path: str, parent: Element | None, skipped: bool) -> None:
+    def __init__(self, tag: str, path: str, parent: Element | None, skipped: bool,
+                 mark: int = PLAIN) -> None:
         self.tag, self.path, self.parent, self.skipped = tag, path, parent, skipped
         self.parts: list[str | Element | None] = []   # None stands for a line break
         self.size = 0
+        self.mark = mark
 
 
-def _attributes(text: str) -> tuple[str, bool]:
-    """(class names, whether class, id, role or style say it is not part of the article)."""
+def _attributes(text: str) -> tuple[str, bool, int]:
+    """(class names, whether the element is hidden, what class, id and role say of it)."""
     if not text or text.isspace():
-        return "", False
+        return "", False, PLAIN
     classes, marks, hidden = "", [], bool(BARE_HIDDEN.search(ATTRIBUTE.sub(" ", text)))
     for name, a, b, c in ATTRIBUTE.findall(text):
         name, value = name.lower(), a or b or c
@@ -92,7 +115,12 @@ def _attributes(text: str) -> tuple[str, bool]:
             hidden |= value.lower() == "true"
         elif name == "hidden":
             hidden = True
-    return classes, hidden or any(NOT_ARTICLE.search(m) for m in marks)
+    # names that speak of other parts are read as none
+    if not any(NOT_ARTICLE.search(m) and NOT_ARTICLE.search(NO_MARK.sub(" ", m)) for m in marks):
+        return classes, hidden, PLAIN
+    if any(FOREIGN.search(m) for m in marks):
+        return classes, hidden, OTHERS
+    return classes, hidden, MIXED if any(ARTICLE_NAME.search(m) for m in marks) else MARKED
 
 
 def parse(html: str) -> Element:
@@ -100,6 +128,7 @@ def parse(html: str) -> Element:
     root = Element("", "", None, False)
     node, at = root, 0
     length = len(html)
+    marked = False
     while at < length:
         start = html.find("<", at)
         if start < 0:
@@ -144,23 +173,78 @@ def parse(html: str) -> Element:
             if tag not in INLINE:
                 node.parts.append(None)
             continue
-        path, skipped = node.path, True
+        path, skipped, mark = node.path, True, PLAIN
         if not node.skipped and tag not in SKIPPED:
-            classes, apart = _attributes(attributes)
-            skipped = apart and tag not in ("html", "body", "main", "article")
+            classes, skipped, mark = _attributes(attributes)
+            skipped = skipped and tag not in ("html", "body", "main", "article")
+            marked |= mark != PLAIN
         if not skipped:
             step = f"{tag}.{classes.replace(' ', '.')}" if classes else tag
             path = f"{path}/{DIGITS.sub('0', step)}"
-        child = Element(tag, path, node, skipped)
+        child = Element(tag, path, node, skipped, mark)
         node.parts.append(child)
         if tag in RAW:
             end = re.compile(rf"</{tag}(?=[\s/>])[^>]*>", re.I).search(html, at)
             at = end.end() if end else length
         elif not attributes.rstrip().endswith("/") or tag not in ("svg", "math"):
             node = child
+    if marked:
+        _skip_marked(root)
     return root
 
 
+def _cuttable(element: Element) -> bool:
+    return element.mark != PLAIN and element.tag not in ("html", "body", "main", "article")
+
+
+def _inside(element: Element) -> Iterator[Element]:
+    return (p for p in element.parts if isinstance(p, Element) and not p.skipped)
+
+
+def _skip_marked(root: Element) -> None:
+    """Skips marked elements, but not those without which the page loses its article.
+
+    Such are the one that holds most of the text of article and main while no unmarked one has any
+    (if its names do not speak of others' articles), and the one that holds most of the page's text, if its names speak for an article too, or if it
+    has headings or paragraphs and all unmarked text is next to nothing.
+    """
+    order, waiting = [], [(root, False)]
+    while waiting:
+        node, linked = waiting.pop()
+        order.append((node, linked))
+        waiting += [(p, linked or p.tag == "a") for p in _inside(node)]
+    # of each element: text, text outside marks, text of articles, that outside marks, any block
+    sums: dict[int, tuple[int, int, int, int, bool]] = {}
+    for node, linked in reversed(order):
+        text = 0 if linked else sum(len(p.strip()) for p in node.parts if isinstance(p, str))
+        plain, core, plain_core = text, 0, 0
+        block = bool(text) and (node.tag == "p" or node.tag in HEADINGS)
+        for part in _inside(node):
+            t, p, c, pc, b = sums[id(part)]
+            text, core, block = text + t, core + c, block or b
+            if not _cuttable(part):
+                plain, plain_core = plain + p, plain_core + pc
+        if node.tag in ("article", "main") and node.mark == PLAIN:
+            core, plain_core = text, plain
+        block = block or bool(text) and (node.tag == "p" or node.tag in HEADINGS)
+        sums[id(node)] = text, plain, core, plain_core, block
+    total, plain, all_core, plain_core, _ = sums[id(root)]
+    waiting = [root]
+    while waiting:
+        node = waiting.pop()
+        for part in _inside(node):
+            if _cuttable(part):
+                t, p, c, pc, block = sums[id(part)]
+                holds_core = part.mark != OTHERS and not plain_core and 2 * c > all_core
+                holds_text = 2 * t > total and (part.mark == MIXED
+                                                or block and OUTWEIGHS * plain < t)
+                if not holds_core and not holds_text:
+                    part.skipped = True
+                    continue
+                plain, plain_core = plain + p, plain_core + pc
+            waiting.append(part)
+
+
 def _measure(element: Element, linked: bool) -> int:
     """Gives each element below the length of its text outside links."""
     size = 0

@@ -52,3 +52,27 @@ def test_the_host_decides(spark):
     assert texts[5:] == [(9, "short"), (9, "short"), (10, ""), (11, ""), (12, "plain")]
     assert {r.page_html for r in out} == {"t"}
     assert extract_text(df.limit(0)).count() == 0
+
+
+LONG = "a long sentence of the article, outside links " * 3
+SHORT = "another sentence that is shorter"
+
+
+@pytest.mark.parametrize("names", [
+    "class='content with-sidebar'", "class='layout no-sidebar'", "class='page-container has-header'",
+    "class='post legal'", "id='sidebar-layout'", "class='main-wrap search'"])
+@pytest.mark.parametrize("inner", [
+    "<article><h1>T</h1><p>{}</p></article>", "<h1>T</h1><p>{}</p>"])
+def test_layout_names_do_not_cut_the_article(names, inner):
+    page = (f"<body><div {names}>{inner.format(LONG)}<div class='sidebar'><p>{SHORT}</p></div></div>"
+            "<div class='footer'><p>imprint</p></div></body>")
+    assert own(page) == f"T {LONG.strip()}"
+
+
+def test_names_that_still_cut():
+    article = f"<div class='content'><p>{SHORT}</p></div>"
+    for names in ("class='comments'", "id='related-posts'", "class='ad'"):
+        other = f"<div {names}><article><h3>x</h3><p>{LONG}</p></article></div>"
+        assert own(f"<body>{article}{other}</body>") == SHORT
+    head = f"<article><div class='entry-header'><h1>T</h1></div><p>{SHORT}</p></article>"
+    assert own(f"<body>{head}</body>") == f"T {SHORT}"
