@@ -2,7 +2,8 @@
 
 First pass: every page is parsed, its containers are scored, and the path of tags and classes that
 leads to the best one, with digits generalised, is its vote. Spark sums the votes of each host and
-keeps the winning path. Names that mark what is not the article cut an element only
+keeps the winning path. A container is left for a child only while nothing but boilerplate stays
+outside, and never below an article. Names that mark what is not the article cut an element only
 where the page has its text elsewhere. Second pass: the elements on the host's path are extracted; a page without
 such an element falls back to its own best container.
 """
@@ -23,6 +24,8 @@ from featherloom.naming import quoted
 
 #: Share of a container's text that a child must hold to be chosen in its place.
 DOMINANT = 0.6
+#: Characters outside links from which text beside that child is no boilerplate.
+SENTENCE = 25
 #: A marked element is the article if it holds most of the text, and so many times what is unmarked.
 OUTWEIGHS = 10
 
@@ -87,13 +90,13 @@ PLAIN, MARKED, MIXED, OTHERS = 0, 1, 2, 3
 
 
 class Element:
-    __slots__ = ("tag", "path", "parent", "skipped", "parts", "size", "mark")
+    __slots__ = ("tag", "path", "parent", "skipped", "parts", "size", "links", "mark")
 
     def __init__(self, tag: str, path: str, parent: Element | None, skipped: bool,
                  mark: int = PLAIN) -> None:
         self.tag, self.path, self.parent, self.skipped = tag, path, parent, skipped
         self.parts: list[str | Element | None] = []   # None stands for a line break
-        self.size = 0
+        self.size = self.links = 0
         self.mark = mark
 
 
@@ -245,31 +248,60 @@ def _skip_marked(root: Element) -> None:
             waiting.append(part)
 
 
-def _measure(element: Element, linked: bool) -> int:
-    """Gives each element below the length of its text outside links."""
-    size = 0
+def _measure(element: Element, linked: bool) -> None:
+    """Gives each element below the lengths of its text outside and inside links."""
+    size = links = 0
     for part in element.parts:
         if part is None:
             continue
         if isinstance(part, str):
-            size += 0 if linked else len(part.strip())
+            if linked:
+                links += len(part.strip())
+            else:
+                size += len(part.strip())
         elif not part.skipped:
-            size += _measure(part, linked or part.tag == "a")
-    element.size = size
-    return size
+            _measure(part, linked or part.tag == "a")
+            size, links = size + part.size, links + part.links
+    element.size, element.links = size, links
+
+
+def _headed(element: Element) -> bool:
+    return any(p.size and (p.tag in HEADINGS or _headed(p)) for p in _inside(element))
+
+
+def _boilerplate_beside(node: Element, top: Element) -> bool:
+    """True if a container holds no heading, paragraph or further text outside a child.
+
+    Children on the same path are taken with it. Lists of links are boilerplate.
+    """
+    rest = 0
+    for part in node.parts:
+        if isinstance(part, str):
+            rest += len(part.strip())
+        elif part is not None and not part.skipped and part.size and part.path != top.path:
+            if part.tag == "p" or part.tag in HEADINGS:
+                return False
+            if part.links <= part.size:
+                if _headed(part):
+                    return False
+                rest += part.size
+    return rest < SENTENCE
 
 
 def best_container(root: Element) -> Element:
-    """From the root down to the child that holds most of the text, while there is one."""
+    """From the root down to the child that holds most of the text, while all else is boilerplate
+    and no article or main is reached."""
     _measure(root, False)
     node = root
-    while True:
-        children = [p for p in node.parts if isinstance(p, Element) and not p.skipped
-                    and p.tag not in INLINE and p.tag not in ARTICLE_BLOCKS]
+    while node.tag not in ("article", "main"):
+        children = [p for p in _inside(node)
+                    if p.tag not in INLINE and p.tag not in ARTICLE_BLOCKS]
         top = max(children, key=lambda e: e.size, default=None)
-        if top is None or not top.size or top.size < DOMINANT * node.size:
+        if (top is None or not top.size or top.size < DOMINANT * node.size
+                or not _boilerplate_beside(node, top)):
             return node
         node = top
+    return node
 
 
 def elements_on(root: Element, path: str) -> list[Element]:
@@ -376,7 +408,7 @@ def _extract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             root = page_tree(html)
             chosen = elements_on(root, path) if path is not None else []
             text = block_text(chosen) if chosen else ""
-            texts.append(text or block_text([best_container(root)]))
+            texts.append(text or block_text(elements_on(root, best_container(root).path)))
         yield pa.RecordBatch.from_arrays(
             [*batch.columns[2:], pa.array(texts, pa.string())],
             names=[*batch.schema.names[2:], "text"])

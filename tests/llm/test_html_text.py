@@ -76,3 +76,16 @@ def test_names_that_still_cut():
         assert own(f"<body>{article}{other}</body>") == SHORT
     head = f"<article><div class='entry-header'><h1>T</h1></div><p>{SHORT}</p></article>"
     assert own(f"<body>{head}</body>") == f"T {SHORT}"
+
+
+@pytest.mark.parametrize("outer", ["article", "main", "div"])
+@pytest.mark.parametrize(("inner", "text"), [
+    (f"<h1>T</h1><p class='lead'>lead</p><div class='body'><p>{LONG}</p></div>", f"T lead {LONG}"),
+    (f"<div class='a'>{LONG}</div><div class='b'>{SHORT}</div>", f"{LONG} {SHORT}"),
+    (f"<div class='a1'><p>{LONG}</p></div><div class='a2'>end</div>", f"{LONG} end")])
+def test_nothing_beside_the_largest_part_is_lost(spark, outer, inner, text):
+    page = (f"<body><{outer} class='x'>{inner}</{outer}>"
+            "<div><a href='/'>many words of a list of links</a></div></body>")
+    df = spark.createDataFrame([(i, "http://h.org/", page) for i in range(2)],
+                               "page_id long, url string, html string")
+    assert {r.text for r in extract_text(df).collect()} == {" ".join(text.split())}
