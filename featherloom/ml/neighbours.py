@@ -86,8 +86,9 @@ def nearest_rows(train: DataFrame, query: DataFrame, key: str, features: str, k:
         enough = np.cumsum(sizes[order], axis=1) >= need
         bound = np.where(enough.any(axis=1), reach[np.arange(len(d)), enough.argmax(axis=1)],
                          np.inf)
-        hit = d - radii <= bound[:, None] * (1 + 1e-9) + 1e-9
-        return pd.Series([ids[h].tolist() for h in hit])
+        # a distance that overflows proves nothing
+        far = np.isfinite(d) & (d - radii > bound[:, None] * (1 + 1e-9) + 1e-9)
+        return pd.Series([ids[h].tolist() for h in ~far])
 
     blocks_of = F.create_map(*[F.lit(v) for c, s in splits.items() for v in (c, s)])
     chunk = F.pmod(F.xxhash64("key"), F.lit(chunks)).cast("int")

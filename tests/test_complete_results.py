@@ -70,6 +70,16 @@ def test_neighbours_with_missing_and_infinite_coordinates(spark):
     assert {(r.key, r.neighbour): r.distance for r in out}[1, 3] == 3.0
 
 
+@pytest.mark.parametrize("p", [1, 2])
+def test_neighbours_whose_distance_to_the_pivots_overflows(spark, p):
+    inf = float("inf")
+    rows = [(i, [float(i), 0.0]) for i in range(6)] + [(6, [inf, inf]), (7, [inf, inf])]
+    df = spark.createDataFrame(rows, "key long, features array<double>")
+    out = nearest_rows(df, df, "key", "features", 1, p=p, exclude_self=True, pivots=1).collect()
+    assert len(out) == 8
+    assert {r.key: (r.neighbour, r.distance) for r in out if r.key > 5} == {6: (7, 0.0), 7: (6, 0.0)}
+
+
 def test_topics_of_every_row(spark):
     rows = [(i, float(i % 3 == 0), float(i % 3 == 1), 1.0) for i in range(60)]
     df = spark.createDataFrame(rows, "k long, a double, b double, c double")
