@@ -11,7 +11,10 @@ from featherloom.llm.decontaminate import contamination_digest
 from featherloom.llm.html_text import page_texts
 from featherloom.llm.jaccard_join import near_duplicate_digest
 from featherloom.llm.mixing import mix_digest
+from featherloom.llm.prefix_trie import trie_digest
 from featherloom.llm.quality import quality_report
+from featherloom.llm.simhash import simhash_digest
+from featherloom.llm.spelling import spelling_digest
 from featherloom.llm.suffix_array import dedup_digest
 from featherloom.llm.suffix_tree import passage_digest
 from featherloom.llm.top_k import top_k
@@ -176,3 +179,89 @@ def op6_toxicity(spark: SparkSession, folder: str) -> DataFrame:
 @query()
 def op10_quality_classifier(spark: SparkSession, folder: str) -> DataFrame:
     return quality_report(table(spark, folder, "documents"), table(spark, folder, "labels"))
+
+
+def _crc32(text: str, table: str) -> str:
+    """SQL of the unsigned crc32 of a string of ASCII and U+00C0 to U+00FF; ``table`` is its column
+    of the 256 remainders."""
+    bytes_of = (f"flatten(list_transform(string_split({text}, ''), lambda c: CASE WHEN unicode(c) "
+                "< 128 THEN [unicode(c)::BIGINT] ELSE [195::BIGINT, unicode(c)::BIGINT - 64] END))")
+    return (f"xor(list_reduce({bytes_of}, lambda r, b: xor(r >> 8, {table}[(xor(r, b) & 255) + 1]),"
+            " 4294967295::BIGINT), 4294967295::BIGINT)")
+
+
+_REMAINDERS = """(SELECT list_transform(range(256), lambda n: list_reduce(range(8), lambda r, i:
+  CASE WHEN r & 1 = 1 THEN xor(r >> 1, 3988292384::BIGINT) ELSE r >> 1 END, n)) AS crc)"""
+
+
+@query(rf"""
+WITH RECURSIVE t AS (
+  SELECT doc_id, translate(unnest(regexp_extract_all(text, '[A-Za-zÀ-ÿ]{{6,}}')),
+                           '{_UPPER}', '{_LOWER}') AS run FROM documents),
+s AS (SELECT doc_id, run, count(*) AS k FROM t GROUP BY ALL),
+h AS (SELECT run, k, {_crc32("coalesce(CAST(doc_id AS VARCHAR), '') || ':' || run", "crc")} AS h
+      FROM s, {_REMAINDERS}),
+w AS (SELECT CASE WHEN h % 199 = 0 THEN substr(run, 1, h % length(run))
+                  || substr(run, h % length(run) + 2) ELSE run END AS word,
+             CAST(sum(k) AS BIGINT) AS n FROM h GROUP BY 1
+      HAVING length(word) >= 6 AND sum(k) >= 5),
+p AS (SELECT word, n, length(word) AS size, i, substr(word, 1, i - 1) AS a, substr(word, i + 1) AS b
+      FROM (SELECT word, n, unnest(range(1, length(word) + 1)) AS i FROM w)),
+e AS (SELECT x.word, y.word AS near FROM p x JOIN p y
+        ON x.i = y.i AND x.size = y.size AND x.a = y.a AND x.b = y.b AND x.word <> y.word
+      UNION SELECT p.word, w.word FROM p JOIN w ON p.a || p.b = w.word
+      UNION SELECT w.word, p.word FROM p JOIN w ON p.a || p.b = w.word),
+r AS (SELECT e.word, e.near, v.n AS near_n, row_number() OVER (
+        PARTITION BY e.word ORDER BY v.n DESC, e.near) AS place,
+        count(*) OVER (PARTITION BY e.word) AS n_near
+      FROM e JOIN w v ON v.word = e.near),
+f AS (SELECT w.word, w.n, coalesce(r.n_near, 0) AS n_near,
+             CASE WHEN r.near_n >= 5 * w.n THEN r.near END AS form,
+             CASE WHEN r.near_n >= 5 * w.n THEN r.near_n END AS form_n
+      FROM w LEFT JOIN r ON r.word = w.word AND r.place = 1),
+c(word, here, steps) AS (SELECT word, word, 0 FROM f
+                       UNION ALL SELECT c.word, f.form, steps + 1 FROM c JOIN f ON f.word = c.here
+                       WHERE f.form IS NOT NULL),
+z AS (SELECT word, max_by(here, steps) AS root FROM c GROUP BY word)
+SELECT f.word, form, root, n, n_near, form_n FROM f JOIN z ON z.word = f.word""")
+def op11_spelling_variants(spark: SparkSession, folder: str) -> DataFrame:
+    return spelling_digest(table(spark, folder, "documents"))
+
+
+@query(f"""
+WITH t AS (SELECT conv_id AS c, coalesce(role, '') AS role, coalesce(text, '') AS text,
+                  row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST,
+                                     coalesce(role, ''), coalesce(text, '')) AS i
+           FROM conversations WHERE conv_id IS NOT NULL),
+k AS (SELECT c, c - c % 100 AS first, h % 6 AS h
+      FROM (SELECT c, {_crc32("CAST(c AS VARCHAR)", "crc")} AS h
+            FROM (SELECT DISTINCT c FROM t), {_REMAINDERS})),
+q AS (SELECT k.c, t.i, 0 AS own, role, text FROM k JOIN t ON t.c = k.first AND t.i <= k.h
+      UNION ALL SELECT k.c, t.i, 1, role, text FROM k JOIN t ON t.c = k.c AND t.i > k.h),
+o AS (SELECT c, row_number() OVER (PARTITION BY c ORDER BY own, i) AS d, role, text FROM q),
+m AS (SELECT c, d, length(text) AS chars, md5(string_agg(concat(length(role), ':', role,
+             length(text), ':', text), '') OVER (PARTITION BY c ORDER BY d)) AS node FROM o
+      UNION ALL SELECT c, 0, 0, 'root' FROM k),
+l AS (SELECT c, max(d) AS d FROM m GROUP BY c),
+n AS (SELECT node, any_value(d) AS depth, min(c) AS conv_id, count(*) AS n_convs,
+             any_value(chars) AS chars FROM m GROUP BY node),
+u AS (SELECT DISTINCT x.node, y.node AS parent FROM m x JOIN m y ON x.c = y.c AND x.d = y.d + 1),
+g AS (SELECT parent, count(*) AS n_children FROM u GROUP BY parent),
+b AS (SELECT DISTINCT x.node, y.node AS below FROM m x JOIN m y ON x.c = y.c AND x.d <= y.d),
+v AS (SELECT b.node, CAST(count_if(g.parent IS NULL) AS BIGINT) AS n_leaves,
+             CAST(sum((n.n_convs - 1) * n.chars) AS BIGINT) AS saved_tokens
+      FROM b JOIN n ON n.node = b.below LEFT JOIN g ON g.parent = b.below GROUP BY b.node),
+e AS (SELECT m.node, string_agg(CAST(m.c AS VARCHAR), ',' ORDER BY m.c) AS ids
+      FROM m JOIN l ON l.c = m.c AND l.d = m.d GROUP BY m.node)
+SELECT n.conv_id, n.depth, p.conv_id AS parent_conv_id, n.n_convs,
+       coalesce(g.n_children, 0) AS n_children, v.n_leaves, v.saved_tokens,
+       sha256(coalesce(e.ids, '')) AS ends_sha256
+FROM n JOIN v USING (node) LEFT JOIN u USING (node) LEFT JOIN n p ON p.node = u.parent
+LEFT JOIN g ON g.parent = n.node LEFT JOIN e ON e.node = n.node""")
+def op12_prefix_trie(spark: SparkSession, folder: str) -> DataFrame:
+    return trie_digest(table(spark, folder, "conversations"))
+
+
+@query()
+def op13_simhash_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return simhash_digest(table(spark, folder, "documents"))
