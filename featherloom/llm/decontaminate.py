@@ -165,9 +165,12 @@ def mark(df: DataFrame, benchmark: DataFrame, text_column: str = "text",
 def decontaminate(df: DataFrame, benchmark: DataFrame, text_column: str = "text",
                   item_column: str = "item_id", item_text: str = "text", window: int = WINDOW,
                   ) -> DataFrame:
-    """The rows without those that hold a window of an item; see ``mark``."""
-    marked = mark(df, benchmark, text_column, item_column, item_text, window)
-    return marked.where(~F.col("contaminated")).select(*[quoted(c) for c in df.columns])
+    """The rows without those that hold a window of an item, with all columns; see ``mark``."""
+    names = {c: f"c{i}" for i, c in enumerate(df.columns)}
+    marked = mark(df.select(*[quoted(c).alias(n) for c, n in names.items()]), benchmark,
+                  names[text_column], item_column, item_text, window)
+    return marked.where(~F.col("contaminated")).select(
+        *[F.col(n).alias(c) for c, n in names.items()])
 
 
 def contamination_digest(df: DataFrame, benchmark: DataFrame) -> DataFrame:

@@ -51,7 +51,7 @@ BLOCK = 1024
 #: Tokens that a scan task holds before it sends them on.
 FLUSH = 2_000_000
 
-DOC = {"doc": "i8", "tag": "u4", "node": "u8", "size": "u4"}
+DOC = {"doc": "i8", "tag": "i8", "node": "u8", "size": "u4"}
 TOKEN = {"token": "u8", "node": "u8"}
 RETURNED = {"node": "u8", "token": "u8", "count": "u1"}
 SIGNED = {"signature": "u8", "node": "u8"}
@@ -352,7 +352,7 @@ def near_duplicates(df: DataFrame, id_column: str = "doc_id", text_column: str =
     """Classes of documents that chains of links join: one row per row of the input.
 
     Two documents link if 100 * common shingles >= ``percent`` * all shingles of both. Returns
-    doc_order (the id, or the greatest long for null), text_tag (32 bits of hash of the text),
+    doc_order (the id, or the greatest long for null), text_tag (xxhash64 of the text),
     n_shingles, component_id (least id of the class; the row's own id if nothing links) and
     class_root (hash that names the class; null without shingles). Ids may be null or repeat, so
     only class_root tells classes apart.
@@ -364,7 +364,7 @@ def near_duplicates(df: DataFrame, id_column: str = "doc_id", text_column: str =
     """
     shards = partitions(df.sparkSession)
     keyed = df.select(F.coalesce(quoted(id_column).cast("long"), F.lit(LAST_ID)).alias("doc"),
-                      F.xxhash64(quoted(text_column)).bitwiseAND(F.lit(0xFFFFFFFF)).alias("tag"),
+                      F.xxhash64(quoted(text_column)).alias("tag"),
                       quoted(text_column).alias("text"))
     scanned = materialise(keyed.mapInArrow(_scan(shards, percent, shingle), PACKED)
                           .groupBy("shard").applyInArrow(_count(shards), PACKED))

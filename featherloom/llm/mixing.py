@@ -8,6 +8,8 @@ whole passes over its blocks and spreads the remaining quota over them from a se
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window, functions as F
@@ -21,6 +23,8 @@ BLOCK = 32
 SHARD_ROWS, MAX_SHARDS = 1000, 4096
 #: Times its size that a source, and a document, may be taken.
 MOST = 3
+#: Columns that a mix adds.
+ADDED = ("size", "source_size", "target", "taken", "copies", "spans")
 #: Weights of the sources in code point order, repeating (fixed values).
 WEIGHTS = (1, 2, 3)
 
@@ -150,8 +154,9 @@ def mix_plan(df: DataFrame, seed: int = 0, id_column: str = "doc_id", text_colum
 
 
 def mix(df: DataFrame, seed: int = 0, id_column: str = "doc_id", text_column: str = "text",
-        source_column: str = "source", weights: tuple[int, ...] = WEIGHTS) -> DataFrame:
-    """Adds to each row what the mix takes of it.
+        source_column: str = "source", weights: tuple[int, ...] = WEIGHTS,
+        names: Sequence[str] = ADDED) -> DataFrame:
+    """Adds to each row what the mix takes of it, in columns called ``names``.
 
     size: words of the text; source_size and target: of its source; taken: words taken, repeats
     counted; copies: times that all of the text is taken; spans: array of (start, end) word ranges
@@ -164,15 +169,16 @@ def mix(df: DataFrame, seed: int = 0, id_column: str = "doc_id", text_column: st
     give the same mix, however rows are partitioned. Input columns with names of added ones are
     replaced. An empty table gives an empty table.
     """
-    added = ["size", "source_size", "target", "taken", "copies", "spans"]
-    df = df.select(*[quoted(c) for c in df.columns if c.lower() not in added])
+    lower = [n.lower() for n in names]
+    df = df.select(*[quoted(c) for c in df.columns if c.lower() not in lower])
     plan = mix_plan(df, seed, id_column, text_column, source_column, weights)
     keys = fresh(df, "mix_k1", "mix_k2", "mix_nth")
     # repeated rows are told apart by their number only
     plan = plan.withColumn("nth", F.row_number().over(
         Window.partitionBy("k1", "k2").orderBy("taken", F.to_json("spans"))))
     plan = plan.select(*[F.col(c).alias(k) for c, k in zip(("k1", "k2", "nth"), keys,
-                                                           strict=True)], *added)
+                                                           strict=True)],
+                       *[F.col(a).alias(n) for a, n in zip(ADDED, names, strict=True)])
     k1, k2 = row_keys(quoted(id_column), quoted(source_column).cast("string"),
                       quoted(text_column))
     keyed = df.withColumns({keys[0]: k1, keys[1]: k2})

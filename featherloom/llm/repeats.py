@@ -12,9 +12,9 @@ segments. The plan:
 4. sort: a suffix array or suffix tree over each shard finds the windows that repeat;
 5. merge the ranges of each text.
 
-Segments compare by 128 bits of hash, windows item by item (words by 64 bits of hash). Ordering
-is (doc_id, start) or doc_id alone; a null doc_id comes after all others. Rows that share a
-doc_id are told apart by a hash of the text.
+Segments compare by 64 bits of hash of the anchor and 64 of the whole segment, windows item by item
+(words by 64 bits of hash). Ordering is (doc_id, start) or doc_id alone; a null doc_id comes after
+all others. Rows that share a doc_id are told apart by 64 bits of hash of the text.
 """
 
 from __future__ import annotations
@@ -36,9 +36,9 @@ LAST_ID = (1 << 63) - 1
 #: Segments that a scan task holds before it sends them on.
 FLUSH = 1_500_000
 
-SEGMENT = {"anchor": "u8", "digest": "u8", "doc": "i8", "tag": "u4", "start": "u4",
+SEGMENT = {"anchor": "u8", "digest": "u8", "doc": "i8", "tag": "i8", "start": "u4",
            "left": "u4", "right": "u4", "before": "u1", "windows": "u1"}
-RANGE = {"doc": "i8", "tag": "u4", "start": "u4", "length": "u4"}
+RANGE = {"doc": "i8", "tag": "i8", "start": "u4", "length": "u4"}
 REQUEST = {**RANGE, "key": "u8"}
 PACKED = "shard int, kind int, packed binary"
 Columns = dict[str, np.ndarray]
@@ -65,8 +65,12 @@ def pack(columns: Columns) -> bytes:
     return b"".join(np.ascontiguousarray(c).tobytes() for c in columns.values())
 
 
+def row_bytes(layout: dict[str, str]) -> int:
+    return sum(np.dtype(t).itemsize for t in layout.values())
+
+
 def unpack(layout: dict[str, str], blobs: list[bytes]) -> Columns:
-    size = sum(np.dtype(t).itemsize for t in layout.values())
+    size = row_bytes(layout)
     parts: dict[str, list[np.ndarray]] = {name: [] for name in layout}
     for blob in blobs:
         n, at = len(blob) // size, 0
@@ -130,9 +134,19 @@ def after_first(group: np.ndarray, doc: np.ndarray, start: np.ndarray) -> np.nda
     return out
 
 
+def numbered(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """A number for each pair of values, equal where both are."""
+    order = np.lexsort((b, a))
+    new = np.ones(len(order), dtype=bool)
+    new[1:] = (np.diff(a[order]) != 0) | (np.diff(b[order]) != 0)
+    out = np.empty(len(order), dtype=np.int64)
+    out[order] = np.cumsum(new)
+    return out
+
+
 def _settle(seg: Columns, unit: Unit) -> tuple[Columns, Columns]:
     """(open segments, ranges covered by an equal segment that comes earlier)."""
-    group = mix(seg["anchor"] ^ (seg["digest"] * np.uint64(0xD1342543DE82EF95)))
+    group = numbered(seg["anchor"], seg["digest"])
     start = seg["start"] if unit.inside else np.zeros(len(group), dtype=np.uint32)
     late = after_first(group, seg["doc"], start)
     gone = take(seg, np.flatnonzero(late))
@@ -178,7 +192,7 @@ def _scan(unit: Unit, shards: int) -> Callable:
 
         for batch in batches:
             doc = batch.column(0).to_numpy(zero_copy_only=False).astype(np.int64)
-            tag = batch.column(1).to_numpy(zero_copy_only=False).astype(np.uint32)
+            tag = batch.column(1).to_numpy(zero_copy_only=False)
             for part in _segments(hasher, batch.column(2), doc, tag, unit):
                 held.append(part)
                 count += len(part["doc"])
@@ -276,7 +290,7 @@ def _ranges_by_document(group: pa.Table) -> pa.Table:
                      "ends": pa.array(ends, pa.list_(pa.int64()))})
 
 
-HALF = {"doc": "i8", "tag": "u4", "start": "u4", "length": "u4"}
+HALF = {"doc": "i8", "tag": "i8", "start": "u4", "length": "u4"}
 
 
 def _cut(unit: Unit, shards: int) -> Callable:
@@ -291,7 +305,7 @@ def _cut(unit: Unit, shards: int) -> Callable:
                     starts, ends, first = word_bounds(data, offsets, SPACE)
                     items = hasher.ranges(hasher.prefix(hasher.codes[data]), starts, ends)
                 asked = unpack(REQUEST, blobs)
-                sizes = [len(x) // 28 for x in blobs]
+                sizes = [len(x) // row_bytes(REQUEST) for x in blobs]
                 base = np.repeat(np.asarray(first[:-1]), sizes)
                 rows = []
                 columns = {**asked, "base": base}
@@ -310,7 +324,7 @@ def _cut(unit: Unit, shards: int) -> Callable:
 def half_segments(group: pa.Table, unit: Unit) -> tuple[Columns, np.ndarray]:
     """The half segments of a shard and their items one after the other."""
     heads, items = [], []
-    size = sum(np.dtype(t).itemsize for t in HALF.values())
+    size = row_bytes(HALF)
     for n, blob in zip(group.column("kind").to_pylist(), group.column("packed").to_pylist(),
                        strict=True):
         heads.append(blob[:n * size])
@@ -349,7 +363,7 @@ def repeated_ranges(df: DataFrame, id_column: str, text_column: str, unit: Unit,
     doc, tag, starts, ends = fresh(df, "doc_order", "text_tag", "starts", "ends")
     keyed = df.withColumns({
         doc: F.coalesce(quoted(id_column).cast("long"), F.lit(LAST_ID)),
-        tag: F.xxhash64(quoted(text_column)).bitwiseAND(F.lit(0xFFFFFFFF))})
+        tag: F.xxhash64(quoted(text_column))})
     scanned = keyed.select(doc, tag, quoted(text_column)).mapInArrow(_scan(unit, shards), PACKED)
     resolved = materialise(scanned.groupBy("shard").applyInArrow(_resolve(unit, shards), PACKED))
     asked = (resolved.where("kind = 1").groupBy("shard")

@@ -4,7 +4,7 @@ Letters are hashed to a few symbols. Each word generates the full one-edit neigh
 deleted, replaced, inserted symbols) of its reduced form, as 64-bit keys; the keys join the reduced
 vocabulary, and the pairs that meet are verified on the words themselves. One edit of a word is at
 most one edit of its reduced form, so no pair is lost; equal keys of different forms only add
-candidates. There are so many symbols that reduced words of six letters are about as many as words:
+candidates. Neighbourhoods are mutual, so only keys from a form's own key upwards are sent. There are so many symbols that reduced words of six letters are about as many as words:
 a neighbourhood grows with the sixth root of the vocabulary, the candidates of a word with it.
 """
 
@@ -113,8 +113,12 @@ def _generate(symbols: int) -> Callable:
         for batch in batches:
             for a, b in _slices(batch.column(0)):
                 source = batch.column(1).slice(a, b - a).to_numpy(zero_copy_only=False)
-                for keys, word in Reduced(*_letters(batch.column(0).slice(a, b - a)),
-                                          symbols).neighbourhoods():
+                forms = Reduced(*_letters(batch.column(0).slice(a, b - a)), symbols)
+                own = forms.keys()
+                for keys, word in forms.neighbourhoods():
+                    # of two forms one edit apart, the one with the smaller key finds the other
+                    first = keys >= own[word]
+                    keys, word = keys[first], word[first]
                     yield pa.RecordBatch.from_arrays(
                         [pa.array(keys.view(np.int64)), pa.array(source[word])],
                         names=["key", "source"])
@@ -156,9 +160,12 @@ def near_words(words: DataFrame, symbols: int) -> DataFrame:
                                                                     "key long, source long")
     met = asked.join(keyed.hint("shuffle_hash"), "key").select("source", "near", "near_n")
     # sources only narrow the pairs down: words that share one are all compared
-    return (met.join(words.select(source.alias("source"), "word", "n"), "source")
-            .where(F.levenshtein("word", "near", 1) == 1)
-            .select("word", "n", "near", "near_n").distinct())
+    found = (met.join(words.select(source.alias("source"), "word", "n"), "source")
+             .where(F.levenshtein("word", "near", 1) == 1))
+    both = F.array(F.struct("word", "n", "near", "near_n"),
+                   F.struct(F.col("near").alias("word"), F.col("near_n").alias("n"),
+                            F.col("word").alias("near"), F.col("n").alias("near_n")))
+    return found.select(F.explode(both).alias("pair")).select("pair.*").distinct()
 
 
 def _roots(forms: DataFrame) -> DataFrame:

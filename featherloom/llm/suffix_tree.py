@@ -104,14 +104,15 @@ def repeated_windows(items: np.ndarray, lengths: np.ndarray, width: int, budget:
     return np.concatenate(starts), np.concatenate(labels)
 
 
-def _without_words(untouched: bool):
+def _without_words(untouched: bool, names: tuple[str, str, str]):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            yield _kept_words(batch, untouched)
+            yield _kept_words(batch, untouched, names)
     return run
 
 
-def _kept_words(batch: pa.RecordBatch, untouched: bool) -> pa.RecordBatch:
+def _kept_words(batch: pa.RecordBatch, untouched: bool, names: tuple[str, str, str]
+                ) -> pa.RecordBatch:
     texts = batch.column(0).cast(pa.large_binary()).to_pylist()
     starts, ends = batch.column(1).to_pylist(), batch.column(2).to_pylist()
     n_words, removed, kept = [], [], []
@@ -129,17 +130,17 @@ def _kept_words(batch: pa.RecordBatch, untouched: bool) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays(
         [*batch.columns[3:], pa.array(n_words, pa.int64()), pa.array(removed, pa.int64()),
          pa.array(kept, pa.binary()).cast(pa.string())],
-        names=[*batch.schema.names[3:], "n_words", "n_removed", "kept"])
+        names=[*batch.schema.names[3:], *names])
 
 
 def dedup_passages(df: DataFrame, id_column: str = "doc_id", text_column: str = "text",
-                   width: int = 13, keep: tuple[str, ...] = (), untouched: bool = False
-                   ) -> DataFrame:
+                   width: int = 13, keep: tuple[str, ...] = (), untouched: bool = False,
+                   names: tuple[str, str, str] = ("n_words", "n_removed", "kept")) -> DataFrame:
     """Removes every word covered by ``width`` words that also start in a document of smaller id.
 
     Windows are judged on the input and never cross texts. Returns the id, the columns of
     ``keep``, n_words, n_removed and kept (the words left, joined by one space; with ``untouched``
-    a text that loses nothing is kept as it is).
+    a text that loses nothing is kept as it is), the last three called ``names``.
 
     Null text has no words; texts shorter than ``width`` words stay whole. A null id comes after
     every other id. Rows that share an id never remove anything from each other; repeated rows get
@@ -152,12 +153,12 @@ def dedup_passages(df: DataFrame, id_column: str = "doc_id", text_column: str =
     text = fresh(ranged, "whole_text")[0]
     types = {f.name: f.dataType for f in df.schema}
     schema = T.StructType([T.StructField(c, types[c]) for c in (id_column, *keep)]
-                          + [T.StructField("n_words", T.LongType()),
-                             T.StructField("n_removed", T.LongType()),
-                             T.StructField("kept", T.StringType())])
+                          + [T.StructField(names[0], T.LongType()),
+                             T.StructField(names[1], T.LongType()),
+                             T.StructField(names[2], T.StringType())])
     return (ranged.select(quoted(text_column).alias(text), quoted(starts), quoted(ends),
                           quoted(id_column), *[quoted(c) for c in keep])
-            .mapInArrow(_without_words(untouched), schema))
+            .mapInArrow(_without_words(untouched, names), schema))
 
 
 def passage_digest(df: DataFrame) -> DataFrame:

@@ -28,7 +28,7 @@ PASSAGE = 20
 STEPS, BATCH, REVIEW, RATE = 480, 64, 40, 0.5
 #: Most labelled rows of each label that the fit reads, first in order of a hash of the id.
 MOST_ROWS = 1500
-#: Bytes of text that the fit takes apart at once, on the driver.
+#: Bytes of text that the fit takes apart at once.
 FIT_CHUNK = 1 << 17
 #: Score from which a text counts as toxic.
 THRESHOLD = 0.3
@@ -206,59 +206,83 @@ def text_scores(texts: pa.Array, scores: np.ndarray, bias: float) -> np.ndarray:
     return np.concatenate(out)
 
 
-def _score(model):
+def _score(model, name: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             yield pa.RecordBatch.from_arrays(
                 [*batch.columns[1:], pa.array(text_scores(batch.column(0), *model.value))],
-                names=[*batch.schema.names[1:], "score"])
+                names=[*batch.schema.names[1:], name])
     return run
 
 
-def labelled(df: DataFrame, labels: DataFrame, id_column: str, label: F.Column,
-             most: int = MOST_ROWS) -> tuple[list[str], list[int], dict[int, float]]:
-    """(texts, labels, weight of each label) of a bounded sample of the rows open to training.
+def labelled_rows(df: DataFrame, labels: DataFrame, id_column: str, label: F.Column,
+                  most: int = MOST_ROWS) -> DataFrame:
+    """(label, id, text, known) of a bounded sample of the rows open to training.
 
-    At most ``most`` rows of each label, first by a hash of the id; weights restore the counts of
-    all rows open to training. Rows with a null id, label or text are left out; an id labelled
-    more than once takes its greatest label.
+    At most ``most`` rows of each label, first by a hash of the id; ``known`` counts the label's
+    rows open to training. Rows with a null id, label or text are left out; an id labelled more
+    than once takes its greatest label.
     """
     key = quoted(id_column)
     known = (labels.select(key.cast("long").alias("id"), label.cast("int").alias("label"))
              .dropna().where(~held_out(F.col("id")))
              .groupBy("id").agg(F.max("label").alias("label")))
-    counts = {r["label"]: r["count"] for r in known.groupBy("label").count().collect()}
-    texts, found, weights = [], [], {}
-    for value in sorted(counts):
-        chosen = known.where(F.col("label") == value).orderBy(F.xxhash64("id"), "id").limit(most)
-        rows = (df.select(key.cast("long").alias("id"), quoted("text"))
-                .join(F.broadcast(chosen), "id").where(F.col("text").isNotNull())
-                .groupBy("id").agg(F.min("text").alias("text")).orderBy("id").collect())
-        texts += [r["text"] for r in rows]
-        found += [value] * len(rows)
-        weights[value] = counts[value] / max(1, len(rows))
-    return texts, found, weights
+    counts = known.groupBy("label").agg(F.count(F.lit(1)).alias("known")).collect()
+    chosen = known.limit(0).withColumn("known", F.lit(0).cast("long"))
+    for value, count in sorted(counts):
+        chosen = chosen.unionByName(
+            known.where(F.col("label") == value).orderBy(F.xxhash64("id"), "id").limit(most)
+            .withColumn("known", F.lit(count).cast("long")))
+    return (df.select(key.cast("long").alias("id"), quoted("text"))
+            .join(F.broadcast(chosen), "id").where(F.col("text").isNotNull())
+            .groupBy("label", "id").agg(F.min("text").alias("text"), F.first("known").alias("known")))
+
+
+def weighted(rows: pa.Table) -> tuple[list[str], list[int], dict[int, float]]:
+    """(texts, labels, weight of each label): weights restore the counts of all labelled rows."""
+    rows = rows.sort_by([("label", "ascending"), ("id", "ascending")])
+    found, known = rows.column("label").to_pylist(), rows.column("known").to_pylist()
+    return (rows.column("text").to_pylist(), found,
+            {v: n / found.count(v) for v, n in dict(zip(found, known, strict=True)).items()})
+
+
+def labelled(df: DataFrame, labels: DataFrame, id_column: str, label: F.Column,
+             most: int = MOST_ROWS) -> tuple[list[str], list[int], dict[int, float]]:
+    """``weighted`` rows of ``labelled_rows``, on the driver."""
+    return weighted(labelled_rows(df, labels, id_column, label, most).toArrow())
+
+
+def _fit(rows: pa.Table) -> pa.Table:
+    scores, bias = train(*weighted(rows))
+    return pa.table({"scores": pa.array([scores.astype(np.float32).tobytes()], pa.binary()),
+                     "bias": pa.array([bias])})
 
 
 def score_toxicity(df: DataFrame, labels: DataFrame, id_column: str = "doc_id",
-                   text_column: str = "text", keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
-    """The columns of ``keep`` and the toxicity score (0 to 1) of each whole text.
+                   text_column: str = "text", keep: tuple[str, ...] = ("doc_id",),
+                   name: str = "score", most: int = MOST_ROWS) -> DataFrame:
+    """The columns of ``keep`` and the toxicity score (0 to 1) of each whole text, as ``name``.
 
-    The model is fitted on ``labels`` (id, toxic 0/1) of rows whose crc32(id) mod 4 is not 2; only
-    texts are inputs. Null, empty and wordless texts get the score of a passage without evidence.
+    The model is fitted in one task, on at most ``most`` rows of each value of ``labels``
+    (id, toxic 0/1), all with crc32(id) mod 4 other than 2; only texts are inputs. Null, empty and wordless texts get the score of a passage without evidence.
     Without labels of both kinds every text gets the share of toxic labels. Repeated rows get equal
-    scores; an empty table gives an empty table. A column of ``keep`` named ``score`` is replaced.
+    scores; an empty table gives an empty table. A column of ``keep`` called
+    ``name`` is replaced.
     """
-    keep = tuple(c for c in keep if c.lower() != "score")
+    keep = tuple(c for c in keep if c.lower() != name.lower())
     texts = df.select(quoted(id_column).alias("doc_id"), quoted(text_column).alias("text"))
-    sample = labelled(texts, labels.select(quoted(id_column).alias("doc_id"), "toxic"), "doc_id",
-                      F.col("toxic"))
-    model = df.sparkSession.sparkContext.broadcast(train(*sample))
+    sample = labelled_rows(texts, labels.select(quoted(id_column).alias("doc_id"), "toxic"),
+                           "doc_id", F.col("toxic"), most)
+    fitted = (sample.groupBy(F.lit(0).alias("all"))
+              .applyInArrow(_fit, "scores binary, bias double").first())
+    model = df.sparkSession.sparkContext.broadcast(
+        (np.frombuffer(fitted["scores"], dtype=np.float32), fitted["bias"]) if fitted
+        else train([], []))
     types = {f.name: f.dataType for f in df.schema}
     schema = T.StructType([T.StructField(c, types[c]) for c in keep]
-                          + [T.StructField("score", T.DoubleType())])
+                          + [T.StructField(name, T.DoubleType())])
     return df.select(quoted(text_column).alias(fresh(df, "scored_text")[0]), *[quoted(c) for c in keep]
-                     ).mapInArrow(_score(model), schema)
+                     ).mapInArrow(_score(model, name), schema)
 
 
 def toxicity_report(df: DataFrame, labels: DataFrame) -> DataFrame:

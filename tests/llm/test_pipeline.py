@@ -2,6 +2,7 @@
 
 import __spark_entry__ as entry
 import corpus_pipeline as pipeline
+from featherloom.llm.suffix_array import dedup_digest
 from test_decontaminate import truth as contaminated
 from test_repeats import words_truth
 
@@ -96,3 +97,46 @@ def test_unlike_texts_with_null_or_equal_ids_stay(spark, folder):
     kept = pipeline.drop_near_duplicates(spark, docs, folder).collect()
     assert sorted((r.doc_id or 0, r.text.lower()) for r in kept) == [
         (0, texts[0][1]), (0, texts[1][1]), (5, texts[4][1]), (5, texts[3][1])]
+
+
+def test_columns_with_names_of_added_ones_stay(spark, folder):
+    docs = spark.read.parquet(f"{folder}/documents.parquet").limit(60)
+    names = ["score", "n_words", "n_removed", "kept", "size", "taken", "copies", "spans", "target",
+             "source_size", "text_tag", "doc_order", "starts", "ends", "Class_Root"]
+    for i, name in enumerate(names):
+        docs = docs.withColumn(name, docs.doc_id * 0 + i)
+    columns = docs.columns
+    for _, stage in pipeline.STAGES:
+        out = stage(spark, docs, folder)
+        assert out.columns[:len(columns)] == columns
+        rows = out.collect()
+        assert rows and all(tuple(r)[5:len(columns)] == tuple(range(len(names))) for r in rows)
+        assert stage(spark, docs.limit(0), folder).count() == 0
+    assert out.columns[len(columns):] == ["_size", "_source_size", "_target", "_taken", "_copies",
+                                          "_spans"]
+
+
+def test_null_ids_whose_short_hashes_collide(spark, folder):
+    """Texts without an id whose hashes agree in the low 32 bits are told apart."""
+    import xxhash
+    seen, pair = {}, None
+    for i in range(400000):
+        text = f"t{i} " + " ".join(f"u{i}w{j}" for j in range(30))
+        low = xxhash.xxh64_intdigest(text, seed=42) & 0xFFFFFFFF
+        if low in seen:
+            pair = seen[low], text
+            break
+        seen[low] = text
+    assert pair
+    first, second = pair
+    rows = [(1, first), (None, first), (None, second), (None, "short")]
+    docs = spark.createDataFrame([(d, t, "en", "s", len(t)) for d, t in rows],
+                                 "doc_id long, text string, lang string, source string, "
+                                 "n_chars long")
+    cut = sorted((r.doc_id or 0, r.text) for r in pipeline.cut_passages(spark, docs, folder)
+                 .collect())
+    assert cut == [(0, "short"), (0, second), (1, first)]
+    bytes_left = {r.n_removed for r in dedup_digest(docs).where("doc_id is null").collect()}
+    assert bytes_left == {0, len(first)}
+    kept = pipeline.drop_near_duplicates(spark, docs, folder).collect()
+    assert sorted((r.doc_id or 0, r.text) for r in kept) == [(0, "short"), (0, second), (1, first)]
