@@ -13,6 +13,10 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, functions as F
 
 from featherloom.functions.columns import key_digest, unit_interval
+from featherloom.ml.ensembles import (
+    boost_with_patience, fit_extra_trees, fit_forest, poisson_count as _poisson_count)
+from featherloom.ml.huber import fit_modified_huber
+from featherloom.ml.matrix import materialise
 from featherloom.naming import quoted
 from featherloom.operators.encode import balanced_weight
 from featherloom.operators.joins import union_rows
@@ -57,8 +61,14 @@ PARAMETERS = {
 PARAMETERS["extra_trees"] = PARAMETERS["random_forest"]
 # Parameters that say how to run, not what to fit; dropping them changes nothing.
 SILENT = frozenset({"n_jobs", "verbosity", "verbose", "verbose_eval", "device", "metric",
-                    "eval_metric", "metric_freq", "objective", "booster", "boosting_type",
-                    "tree_method", "loss", "penalty", "nthread"})
+                    "eval_metric", "metric_freq", "objective", "tree_method", "nthread"})
+# Parameters that the code below reads itself, and values of others that change nothing.
+HANDLED = {
+    "boosted_trees": frozenset({"early_stopping_rounds"}),
+    "random_forest": frozenset({"oob_score"}),
+}
+NEUTRAL = {"loss": ("log", "log_loss", "modified_huber"), "booster": ("gbtree", "gblinear"),
+           "boosting_type": ("gbdt",), "penalty": ("elasticnet", "l1", "l2")}
 # MLlib's own limit on the depth of a tree.
 MAX_DEPTH = 30
 
@@ -70,6 +80,11 @@ class Fitted:
     predict: Callable[[DataFrame, str], DataFrame]
     importances: Sequence[float] | None = None
     iterations: int | None = None
+    #: Held-out loss of every round that early stopping looked at.
+    losses: Sequence[float] | None = None
+    #: Adds to the training rows the mean vote ``name`` of the ``<name>_trees`` that did not draw
+    #: them, if the model keeps its bags.
+    out_of_bag: Callable[[DataFrame, str], DataFrame] | None = None
 
 
 def kind_of(model: str, params: Mapping) -> str:
@@ -84,8 +99,14 @@ def _translate(kind: str, params: Mapping, report: Report) -> dict:
         # a linear booster gives its L1 and L2 penalties apart
         l1, l2 = float(params.get("reg_alpha", 0.0)), float(params["reg_lambda"])
         out.update(regParam=l1 + l2, elasticNetParam=l1 / (l1 + l2) if l1 + l2 else 0.0)
+    if kind == "elastic_net" and params.get("penalty") in ("l1", "l2"):
+        out["elasticNetParam"] = float(params["penalty"] == "l1")
     for name, value in params.items():
         target = PARAMETERS[kind].get(name)
+        if name in HANDLED.get(kind, ()) or value in NEUTRAL.get(name, ()):
+            continue
+        if name == "l1_ratio" and "elasticNetParam" in out:
+            continue    # the penalty has settled it
         if target and target[0] == "maxDepth":
             out["maxDepth"] = _depth(kind, value, report)
         elif target:
@@ -111,7 +132,7 @@ def _estimator(kind: str, params: Mapping, report: Report):
     if kind == "random_forest":
         return RandomForestClassifier(**args)
     if kind == "extra_trees":
-        # all rows for every tree; thresholds are not random in MLlib
+        # all rows for every tree
         return RandomForestClassifier(**{"bootstrap": False, "featureSubsetStrategy": "sqrt",
                                          **args})
     if kind == "elastic_net":
@@ -145,8 +166,10 @@ def fit(model: str, params: Mapping, train: DataFrame, label: str = "label",
     """Fits a named classifier on a table with key, label and feature vector.
 
     ``validation`` names a boolean column of held-out rows that stop a boosted
-    model early: training ends when their loss no longer improves by the
-    tolerance (there is no patience in rounds).
+    model early. With ``early_stopping_rounds`` it keeps the round of least loss that so many rounds
+    without gain follow, of at most ``n_estimators``; otherwise training ends when their loss no
+    longer improves by the tolerance. A forest with ``oob_score`` keeps each tree's bag. Extra
+    trees split at random thresholds. The ``modified_huber`` loss has its own solver.
     """
     report = ensure(report)
     kind = kind_of(model, params)
@@ -156,13 +179,34 @@ def fit(model: str, params: Mapping, train: DataFrame, label: str = "label",
     if kind == "bagging":
         return _fit_bagging(params, train, label, features, key, report)
     train, weight_col = _weighted(train, params, label, weight)
+    if kind == "elastic_net" and params.get("loss") == "modified_huber":
+        args = _translate(kind, params, report)
+        linear = fit_modified_huber(
+            materialise(train), features, label, weight_col, args.get("regParam", 0.0001),
+            args.get("elasticNetParam", 0.15), args.get("maxIter", 30), args.get("tol", 1e-6))
+        return Fitted(lambda df, name: linear.predict(df, features, name),
+                      losses=linear.objectives)
     estimator = _estimator(kind, params, report)
     estimator.setFeaturesCol(features).setLabelCol(label)
     if weight_col:
         estimator.setWeightCol(weight_col)
-    if validation and kind == "boosted_trees":
-        estimator.setValidationIndicatorCol(validation)
-    fitted = estimator.fit(train)
+    iterations = losses = out_of_bag = None
+    if kind == "extra_trees":
+        predict, importances = fit_extra_trees(
+            estimator, train, features, weight_col, int(params.get("parallelism", 4)))
+        return Fitted(predict, importances)
+    if validation and kind == "boosted_trees" and params.get("early_stopping_rounds"):
+        fitted, iterations, losses = boost_with_patience(
+            estimator, train.filter(~quoted(validation)), train.filter(quoted(validation)),
+            int(params["early_stopping_rounds"]))
+    elif kind == "random_forest" and params.get("oob_score"):
+        fitted, out_of_bag = fit_forest(estimator, train, key, weight_col,
+                                        int(params.get("parallelism", 4)))
+    else:
+        if validation and kind == "boosted_trees":
+            estimator.setValidationIndicatorCol(validation)
+        fitted = estimator.fit(train)
+        iterations = fitted.getNumTrees if kind == "boosted_trees" else None
 
     def predict(df: DataFrame, name: str) -> DataFrame:
         raw, vec, hard = f"__raw_{name}", f"__prob_{name}", f"__hard_{name}"
@@ -173,21 +217,7 @@ def fit(model: str, params: Mapping, train: DataFrame, label: str = "label",
 
     importances = getattr(fitted, "featureImportances", None)
     return Fitted(predict, None if importances is None else importances.toArray().tolist(),
-                  fitted.getNumTrees if kind == "boosted_trees" else None)
-
-
-def _poisson_count(u, mean: float):
-    """Inverse distribution function of a Poisson count, as far as doubles tell it from 1."""
-    mass, cumulated = np.exp(-mean), 0.0
-    steps = []
-    while cumulated + mass > cumulated or len(steps) <= mean:
-        cumulated += mass
-        steps.append((len(steps), cumulated))
-        mass *= mean / len(steps)
-    count = F.lit(len(steps))
-    for i, limit in reversed(steps):
-        count = F.when(u < F.lit(float(limit)), F.lit(i)).otherwise(count)
-    return count
+                  iterations, losses, out_of_bag)
 
 
 def _fit_bagging(params: Mapping, train: DataFrame, label: str, features: str, key: str,
@@ -240,6 +270,8 @@ class OutOfFold:
     importances: DataFrame | None
     iterations: list[int]
     test_full: DataFrame | None = None
+    #: fold, round, loss, kept: the held-out loss of each round and the round that stays.
+    loss_curves: DataFrame | None = None
 
     def bundle(self) -> dict[str, DataFrame]:
         tables = {"train_oof": self.train_oof, "test_oof": self.test_oof,
@@ -283,7 +315,17 @@ def oof_predict(train: DataFrame, model: str, params: Mapping, n_folds: int,
         test_oof = scored.select(quoted(key), mean.alias("proba"))
     return OutOfFold(union_rows(held), test_oof,
                      _importance_table(train, fitted, feature_names),
-                     [f.iterations for f in fitted if f.iterations is not None])
+                     [f.iterations for f in fitted if f.iterations is not None],
+                     loss_curves=_loss_curves(train, fitted))
+
+
+def _loss_curves(train: DataFrame, fitted: Sequence[Fitted]) -> DataFrame | None:
+    rows = [(i, n, float(loss), n == f.iterations) for i, f in enumerate(fitted)
+            if f.iterations is not None for n, loss in enumerate(f.losses or (), 1)]
+    if not rows:
+        return None
+    return train.sparkSession.createDataFrame(
+        rows, "fold int, round int, loss double, kept boolean")
 
 
 def _importance_table(train: DataFrame, fitted: Sequence[Fitted],

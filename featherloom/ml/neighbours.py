@@ -1,15 +1,18 @@
 """Exact k nearest neighbours by blocks, pruned with the triangle inequality.
 
-Train rows are assigned to the cell of their nearest pivot and each cell is cut
-into blocks of bounded size. A query visits only the cells that can hold one of
-its k nearest rows. A (block, query chunk) pair is one bounded task that
-returns k rows per query; a cell of many equal rows is just many blocks.
-In the worst case, when nothing can be pruned, the work is rows x queries.
+Train rows are assigned to the cell of a near pivot and each cell is cut into blocks of bounded
+size. There are as many pivots as the square root of the rows, in two levels: groups of pivots round
+a top pivot, so a row is compared with some of them only. A query visits only the cells that can
+hold one of its k nearest rows. Queries of neighbouring cells share a chunk, and a stored row is
+sent to the chunks that ask for its block, to no other. A (block, query chunk) pair is one bounded
+task that returns k rows per query; a cell of many equal rows is just many blocks. In the worst
+case, when nothing can be pruned, the work is rows x queries.
 """
 
 from __future__ import annotations
 
 from collections.abc import Mapping
+from math import isqrt
 
 import numpy as np
 import pandas as pd
@@ -18,6 +21,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.ml.linalg import VectorUDT
 
 from featherloom.functions.columns import finite, key_digest
+from featherloom.ml.matrix import materialise
 from featherloom.naming import quoted
 
 BLOCK_ROWS = 8192
@@ -44,6 +48,140 @@ def _distances(x: np.ndarray, y: np.ndarray, p: float) -> np.ndarray:
     return out if p == 1 else out ** (1.0 / p)
 
 
+class Cells:
+    """Pivots in two levels; each top pivot leads the group of the pivots nearest to it."""
+
+    def __init__(self, centres: np.ndarray, p: float) -> None:
+        self.centres, self.p = centres, p
+        self.tops = centres[:isqrt(len(centres) - 1) + 1]
+        group = _distances(centres, self.tops, p).argmin(axis=1)
+        self.members = [np.flatnonzero(group == g) for g in range(len(self.tops))]
+
+    def home(self, x: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """(cell, distance to its pivot, group, distance to the top pivot) of each row."""
+        to_top = _distances(x, self.tops, self.p)
+        group = to_top.argmin(axis=1)
+        cell, far = np.zeros(len(x), dtype=np.int64), np.zeros(len(x))
+        for g in np.unique(group):
+            rows = np.flatnonzero(group == g)
+            d = _distances(x[rows], self.centres[self.members[g]], self.p)
+            best = d.argmin(axis=1)
+            cell[rows], far[rows] = self.members[g][best], d[np.arange(len(rows)), best]
+        return cell, far, group, to_top[np.arange(len(x)), group]
+
+    def measured(self, cells: np.ndarray, sizes: np.ndarray, radii: np.ndarray,
+                 top_radii: np.ndarray) -> None:
+        """Takes the number of rows of each cell in use, and how far they lie from both pivots."""
+        self.size = np.zeros(len(self.centres), dtype=np.int64)
+        self.radius = np.zeros(len(self.centres))
+        top = np.zeros(len(self.centres))
+        self.size[cells], self.radius[cells], top[cells] = sizes, radii, top_radii
+        self.members = [m[self.size[m] > 0] for m in self.members]
+        self.group_size = np.array([self.size[m].sum() for m in self.members])
+        self.group_radius = np.array([top[m].max(initial=0.0) for m in self.members])
+
+    def _reach(self, d: np.ndarray, radius: np.ndarray, size: np.ndarray, need: int) -> np.ndarray:
+        """Distance within which each query surely has ``need`` rows, infinite if unknown."""
+        if not d.shape[1]:
+            return np.full(len(d), np.inf)
+        reach = d + radius
+        order = np.argsort(reach, axis=1)
+        enough = np.cumsum(size[order], axis=1) >= need
+        best = np.take_along_axis(reach, order, axis=1)[np.arange(len(d)), enough.argmax(axis=1)]
+        return np.where(enough.any(axis=1), best, np.inf)
+
+    def candidates(self, x: np.ndarray, need: int) -> tuple[np.ndarray, np.ndarray]:
+        """(query, cell) pairs that may hold one of the ``need`` nearest rows."""
+        to_top = _distances(x, self.tops, self.p)
+        bound = self._reach(to_top, self.group_radius, self.group_size, need)
+        first = to_top.argmin(axis=1)
+        for g in np.unique(first):
+            rows, cells = np.flatnonzero(first == g), self.members[g]
+            d = _distances(x[rows], self.centres[cells], self.p)
+            bound[rows] = np.minimum(bound[rows], self._reach(d, self.radius[cells],
+                                                              self.size[cells], need))
+        limit = bound * (1 + 1e-9) + 1e-9
+        # a distance that overflows proves nothing
+        far = np.isfinite(to_top) & (to_top - self.group_radius > limit[:, None])
+        queries, found = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+        for g, cells in enumerate(self.members):
+            rows = np.flatnonzero(~far[:, g])
+            if len(rows) and len(cells):
+                d = _distances(x[rows], self.centres[cells], self.p)
+                near = ~(np.isfinite(d) & (d - self.radius[cells] > limit[rows, None]))
+                i, j = np.nonzero(near)
+                queries.append(rows[i])
+                found.append(cells[j])
+        return np.concatenate(queries), np.concatenate(found)
+
+
+def routes(t: DataFrame, q: DataFrame, need: int, p: float, pivots: int, block_rows: int,
+           chunk_rows: int, seed: int) -> tuple[DataFrame, DataFrame] | None:
+    """(asked, held): queries and stored rows (key, x) by (cell, block, chunk); None without rows.
+
+    A stored row is held once for each chunk that asks for its block.
+    """
+    # the choice of pivots affects speed only
+    count = max(pivots, isqrt(t.count()))
+    sample = t.orderBy(key_digest(F.col("key"), seed)).limit(count).collect()
+    if not sample:
+        return None
+    cells = Cells(np.array([r["x"] for r in sample]), p)
+
+    @F.pandas_udf("cell int, far double, top double")
+    def home(x: pd.Series) -> pd.DataFrame:
+        cell, far, _, top = cells.home(np.stack(x.to_numpy()))
+        return pd.DataFrame({"cell": cell.astype("int32"), "far": far, "top": top})
+
+    t = materialise(t.withColumn("h", home("x")).select("key", "x", "h.cell", "h.far", "h.top"))
+    used = t.groupBy("cell").agg(F.count(F.lit(1)).alias("n"), F.max("far").alias("r"),
+                                 F.max("top").alias("s")).collect()
+    cells.measured(*(np.array([c[name] for c in used]) for name in ("cell", "n", "r", "s")))
+    splits = -(-cells.size // block_rows)
+
+    @F.pandas_udf("home int, cells array<int>")
+    def candidates(x: pd.Series) -> pd.DataFrame:
+        x = np.stack(x.to_numpy())
+        query, cell = cells.candidates(x, need)
+        order = np.argsort(query, kind="stable")
+        edges = np.searchsorted(query[order], np.arange(1, len(x)))
+        return pd.DataFrame({"home": cells.home(x)[0].astype("int32"),
+                             "cells": [c.astype("int32") for c in np.split(cell[order], edges)]})
+
+    q = materialise(q.withColumn("h", candidates("x")).select("key", "x", "h.home", "h.cells"))
+    # neighbouring cells fill a chunk together, a full cell takes several
+    homes = q.groupBy("home").agg(F.count(F.lit(1)).alias("n")).collect()
+    group = {int(c): g for g, m in enumerate(Cells(cells.centres, p).members) for c in m}
+    asked_of = np.zeros(len(cells.centres), dtype=np.int64)
+    for h in homes:
+        asked_of[h["home"]] = h["n"]
+    order = sorted(range(len(asked_of)), key=lambda c: (group[c], c))
+    begin = np.zeros(len(asked_of), dtype=np.int64)
+    begin[order] = np.cumsum(asked_of[order]) - asked_of[order]
+
+    @F.pandas_udf("int")
+    def chunk_of(cell: pd.Series, digest: pd.Series) -> pd.Series:
+        cell = cell.to_numpy()
+        inside = (digest.to_numpy() % np.maximum(asked_of[cell], 1))
+        return pd.Series(((begin[cell] + inside) // chunk_rows).astype("int32"))
+
+    @F.pandas_udf("int")
+    def blocks_of(cell: pd.Series) -> pd.Series:
+        return pd.Series(splits[cell.to_numpy()].astype("int32"))
+
+    digest = F.pmod(F.xxhash64("key"), F.lit(1 << 62))
+    asked = (q.withColumn("chunk", chunk_of("home", digest)).withColumn("cell", F.explode("cells"))
+             .withColumn("block", F.explode(F.sequence(F.lit(0), blocks_of("cell") - 1)))
+             .select("cell", "block", "chunk", "key", "x"))
+    wanted = asked.select("cell", "block", F.col("chunk").alias("for")).distinct()
+    held = (t.withColumn("block", F.pmod(F.xxhash64("key"), blocks_of("cell")).cast("int"))
+            .join(wanted, ["cell", "block"])
+            .select(*[F.col(c).alias(n) for c, n in (("cell", "cell"), ("block", "block"),
+                                                     ("for", "chunk"), ("key", "key"),
+                                                     ("x", "x"))]))
+    return asked, held
+
+
 def nearest_rows(train: DataFrame, query: DataFrame, key: str, features: str, k: int,
                  p: float = 1, exclude_self: bool = False, pivots: int = PIVOTS,
                  block_rows: int = BLOCK_ROWS, chunk_rows: int = CHUNK_ROWS,
@@ -51,53 +189,17 @@ def nearest_rows(train: DataFrame, query: DataFrame, key: str, features: str, k:
     """key, neighbour, distance: the k nearest train rows of every query row.
 
     Equal distances are ordered by the neighbour's key. ``exclude_self`` leaves
-    out the train row with the query's own key.
+    out the train row with the query's own key. ``pivots`` is the least number of them; the driver
+    holds the pivots, at most the square root of the rows if that is more.
     """
     t, q = _vectors(train, key, features), _vectors(query, key, features)
     key_type = t.schema["key"].dataType.simpleString()
-    # a bounded sample of pivots; the choice affects speed only
-    sample = t.orderBy(key_digest(F.col("key"), seed)).limit(pivots).collect()
-    if not sample:
+    distances = _distances
+    found = routes(t, q, k + 1 if exclude_self else k, p, pivots, block_rows, chunk_rows, seed)
+    if found is None:
         return t.sparkSession.createDataFrame(
             [], f"key {key_type}, neighbour {key_type}, distance double")
-    centres = np.array([r["x"] for r in sample])
-    distances = _distances
-
-    @F.pandas_udf("cell int, far double")
-    def home(x: pd.Series) -> pd.DataFrame:
-        d = distances(np.stack(x.to_numpy()), centres, p)
-        cell = d.argmin(axis=1)
-        return pd.DataFrame({"cell": cell.astype("int32"), "far": d[np.arange(len(d)), cell]})
-
-    t = t.withColumn("h", home("x")).select("key", "x", "h.cell", "h.far")
-    cells = t.groupBy("cell").agg(F.count(F.lit(1)).alias("n"), F.max("far").alias("r")).collect()
-    ids = np.array([c["cell"] for c in cells])
-    sizes = np.array([c["n"] for c in cells])
-    radii = np.array([c["r"] for c in cells])
-    splits = {int(c["cell"]): -(-c["n"] // block_rows) for c in cells}
-    chunks = max(1, -(-q.count() // chunk_rows))
-    need = k + 1 if exclude_self else k
-
-    @F.pandas_udf("array<int>")
-    def candidates(x: pd.Series) -> pd.Series:
-        d = distances(np.stack(x.to_numpy()), centres[ids], p)
-        reach = np.sort(d + radii, axis=1)
-        order = np.argsort(d + radii, axis=1)
-        enough = np.cumsum(sizes[order], axis=1) >= need
-        bound = np.where(enough.any(axis=1), reach[np.arange(len(d)), enough.argmax(axis=1)],
-                         np.inf)
-        # a distance that overflows proves nothing
-        far = np.isfinite(d) & (d - radii > bound[:, None] * (1 + 1e-9) + 1e-9)
-        return pd.Series([ids[h].tolist() for h in ~far])
-
-    blocks_of = F.create_map(*[F.lit(v) for c, s in splits.items() for v in (c, s)])
-    chunk = F.pmod(F.xxhash64("key"), F.lit(chunks)).cast("int")
-    asked = (q.withColumn("chunk", chunk).withColumn("cell", F.explode(candidates("x")))
-             .withColumn("block", F.explode(F.sequence(F.lit(0), blocks_of[F.col("cell")] - 1)))
-             .select("cell", "block", "chunk", "key", "x"))
-    held = (t.withColumn("block", F.pmod(F.xxhash64("key"), blocks_of[F.col("cell")]).cast("int"))
-            .withColumn("chunk", F.explode(F.sequence(F.lit(0), F.lit(chunks - 1))))
-            .select("cell", "block", "chunk", "key", "x"))
+    asked, held = found
 
     def closest(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
         parts = []

@@ -8,6 +8,8 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.ml.functions import array_to_vector
 
 from featherloom.functions.columns import key_digest, unit_interval
+from featherloom.ml.ensembles import random_thresholds
+from featherloom.ml.huber import fit_modified_huber
 from featherloom.ml.matrix import assemble, materialise
 from featherloom.ml.models import OutOfFold, cross_val_scores, fit, nb_class_stats, \
     oof_predict, refit_full
@@ -58,6 +60,62 @@ def model_extra_trees(spark: SparkSession, folder: str) -> DataFrame:
         "random_state": 42})
 
 
+@query("model_forest_bags", """
+with u as (
+  select vec_id as key, i as tree, ('0x' || md5(vec_id || '|' || (42 + i))[:8])::bigint
+         / 4294967296.0 as u
+  from embeddings, (select unnest(range(8)) as i))
+select key, cast(count_if(u < exp(-1.0)) as int) as vote_trees,
+       count_if(u < exp(-1.0)) > 0 as voted, true as valid
+from u group by key""")
+def model_forest_bags(spark: SparkSession, folder: str) -> DataFrame:
+    """Out-of-bag votes: a row is judged by exactly the trees whose bags lack it."""
+    rows = materialise(_embeddings(spark, folder))
+    model = fit("RandomForestClassifier", {"n_estimators": 8, "max_depth": 4, "oob_score": True,
+                                           "random_state": 42}, rows)
+    return model.out_of_bag(rows, "vote").select(
+        "key", "vote_trees", F.col("vote").isNotNull().alias("voted"),
+        F.coalesce(F.col("vote").between(0, 1), F.lit(True)).alias("valid"))
+
+
+@query("model_oob_score")
+def model_oob_score(spark: SparkSession, folder: str) -> DataFrame:
+    """Accuracy of the out-of-bag votes, and the share of rows that have any."""
+    rows = materialise(_embeddings(spark, folder))
+    model = fit("RandomForestClassifier", {"n_estimators": 8, "max_depth": 4, "oob_score": True,
+                                           "random_state": 42}, rows)
+    right = ((F.col("vote") > 0.5).cast("int") == F.col("label")).cast("double")
+    return model.out_of_bag(rows, "vote").agg(
+        F.avg(right).alias("oob_score"),
+        F.avg(F.col("vote").isNotNull().cast("double")).alias("covered"))
+
+
+@query("extra_trees_thresholds", """
+with x as (select unnest(embedding)::double as value,
+                  generate_subscripts(embedding, 1) - 1 as feature from embeddings),
+e as (select feature, min(value) as low, max(value) as high from x group by feature)
+select tree::int as tree, feature::int as feature, number::int as number, round(low + ('0x' || md5(
+         feature || '|' || tree || '|' || number || '|42')[:8])::bigint / 4294967296.0
+         * (high - low), 6) as cut
+from e, (select unnest(range(10)) as tree), (select unnest(range(16)) as number)""")
+def extra_trees_thresholds(spark: SparkSession, folder: str) -> DataFrame:
+    """The random cut points of each tree."""
+    return rounded(random_thresholds(_embeddings(spark, folder), "features", 10, 42))
+
+
+@query("model_modified_huber", """
+select vec_id as key, true as in_range, true as falls, true as least from embeddings""")
+def model_modified_huber(spark: SparkSession, folder: str) -> DataFrame:
+    """The objective falls in every pass, and its minimum is reached (no slope is left)."""
+    rows = materialise(_embeddings(spark, folder))
+    model = fit_modified_huber(rows, "features", "label", alpha=0.001, l1_ratio=0.15)
+    pairs = zip(model.objectives, model.objectives[1:], strict=False)
+    return model.predict(rows, "features", "proba").select(
+        "key", F.col("proba").between(0, 1).alias("in_range"),
+        F.lit(all(a > b for a, b in pairs)).alias("falls"),
+        F.lit(model.residual < 1e-5).alias("least"))
+
+
 @query("model_elastic_net")
 def model_elastic_net(spark: SparkSession, folder: str) -> DataFrame:
     return _fitted(spark, folder, "SGDClassifier", {
@@ -154,6 +212,33 @@ def model_early_stopping(spark: SparkSession, folder: str) -> DataFrame:
     return run.train_oof.withColumn("iterations", F.get(best, F.col("fold")))
 
 
+_PATIENT = {**_OOF_PARAMS, "n_estimators": 24, "learning_rate": 0.5, "early_stopping_rounds": 3}
+
+
+@query("model_loss_curve")
+def model_loss_curve(spark: SparkSession, folder: str) -> DataFrame:
+    """Held-out loss of every round of each fold's model, and the round that it keeps."""
+    return _oof(spark, folder, "LGBMClassifier", _PATIENT, early_stopping=True)[2].loss_curves
+
+
+@query("model_best_round", """
+select unnest([0, 1, 2])::int as fold, true as least, true as same_loss, true as patient
+where (select count(*) from documents join labels using (doc_id)) > 0""")
+def model_best_round(spark: SparkSession, folder: str) -> DataFrame:
+    """Each fold keeps the round of least held-out loss, and its predictions have that loss."""
+    _, _, run = _oof(spark, folder, "LGBMClassifier", _PATIENT, early_stopping=True)
+    curve = run.loss_curves.groupBy("fold").agg(
+        F.min("loss").alias("low"), F.max(F.when(F.col("kept"), F.col("loss"))).alias("loss"),
+        F.max(F.when(F.col("kept"), F.col("round"))).alias("best"), F.max("round").alias("seen"))
+    true = F.when(F.col("target") == 1, F.col("proba")).otherwise(1 - F.col("proba"))
+    # the boosted loss is twice the log loss
+    got = run.train_oof.groupBy("fold").agg((F.avg(-F.log(true)) * 2).alias("own"))
+    return curve.join(got, "fold").select(
+        "fold", (F.col("loss") == F.col("low")).alias("least"),
+        (F.abs(F.col("own") - F.col("loss")) < 1e-6).alias("same_loss"),
+        ((F.col("seen") == F.col("best") + 3) | (F.col("seen") == 24)).alias("patient"))
+
+
 @query("model_refit_full")
 def model_refit_full(spark: SparkSession, folder: str) -> DataFrame:
     train, test, run = _oof(spark, folder, "LGBMClassifier", _OOF_PARAMS)

@@ -66,9 +66,9 @@ def test_early_stopping_keeps_fewer_trees(data):
 
 def test_ignored_parameters_are_reported(data):
     report = Report()
-    fit("RandomForestClassifier", {"n_estimators": 2, "oob_score": True, "n_jobs": -1}, data,
+    fit("RandomForestClassifier", {"n_estimators": 2, "warm_start": True, "n_jobs": -1}, data,
         report=report)
-    assert report.names("fit") == ["random_forest.oob_score"]
+    assert report.names("fit") == ["random_forest.warm_start"]
 
 
 @pytest.mark.parametrize("p,block", [(1, 8192), (2, 16)])
