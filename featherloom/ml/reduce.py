@@ -2,16 +2,15 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Mapping, Sequence
+from collections.abc import Callable, Iterator, Mapping, Sequence
 
 import numpy as np
 import pandas as pd
 from pyspark.ml.clustering import LDA
-from pyspark.ml.feature import PCA
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import Column, DataFrame, functions as F
 
-from featherloom.ml.matrix import dense
+from featherloom.ml.matrix import dense, materialise
 from featherloom.naming import component_name, quoted
 from featherloom.operators.schema import check_columns, select_by_stem
 from featherloom.report import Report, ensure
@@ -26,9 +25,34 @@ def _with_components(df: DataFrame, name: str, values: Column, k: int) -> DataFr
     return df.drop("__x", "__v", "__y", "__p")
 
 
-def _principal_axes(rows: DataFrame, k: int) -> np.ndarray:
-    """d x k axes of a vector column ``__v``; the largest loading is positive."""
-    axes = PCA(k=k, inputCol="__v", outputCol="__p").fit(rows).pc.toArray()
+def gram(df: DataFrame, column: str, width: int, shift: np.ndarray | None = None) -> DataFrame:
+    """(i, j, value) for i <= j: sums of products of the entries of an array column, as one aggregate.
+
+    Every task adds up its rows in one square matrix; ``shift`` is taken from each row first.
+    """
+    zero = np.zeros(width) if shift is None else np.asarray(shift, dtype=float)
+    upper = np.triu_indices(width)
+
+    def partial(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        total = np.zeros((width, width))
+        for batch in batches:
+            if len(batch):
+                x = np.stack(batch["x"].to_numpy()) - zero
+                total += x.T @ x
+        yield pd.DataFrame({"i": upper[0], "j": upper[1], "value": total[upper]})
+
+    return (df.select(quoted(column).alias("x"))
+            .mapInPandas(partial, "i int, j int, value double")
+            .groupBy("i", "j").agg(F.sum("value").alias("value")))
+
+
+def _principal_axes(df: DataFrame, width: int, k: int, shift: np.ndarray | None = None
+                    ) -> np.ndarray:
+    """d x k leading eigenvectors of the Gram matrix of ``__x``; the largest loading is positive."""
+    whole = np.zeros((width, width))
+    for r in gram(df, "__x", width, shift).collect():
+        whole[r["i"], r["j"]] = whole[r["j"], r["i"]] = r["value"]
+    axes = np.linalg.eigh(whole)[1][:, ::-1][:, :k]
     top = np.abs(axes).argmax(axis=0)
     return axes * np.sign(axes[top, range(axes.shape[1])])
 
@@ -48,24 +72,23 @@ def truncated_svd(df: DataFrame, columns: Sequence[str], name: str, params: Mapp
                   ) -> DataFrame:
     """Projection on the leading right singular vectors, without centring.
 
-    Every row enters the fit as x and as -x. Their mean is exactly 0, so the
-    principal axes of these rows are the singular vectors of the raw matrix.
+    They are the eigenvectors of the Gram matrix, which one pass over the rows adds up.
     """
     k = min(int(params.get("n_components", 2)), len(columns))
     df = df.withColumn("__x", dense(df, columns))
-    mirrored = F.explode(F.array("__x", F.transform("__x", lambda x: -x)))
-    rows = df.select(mirrored.alias("x")).select(array_to_vector("x").alias("__v"))
-    axes = _principal_axes(rows, k)
+    axes = _principal_axes(df, len(columns), k)
     return _project(df, name, axes, np.zeros(k))
 
 
 def pca(df: DataFrame, columns: Sequence[str], name: str, params: Mapping) -> DataFrame:
-    """Projection of the centred columns on their principal axes."""
+    """Projection of the centred columns on their principal axes: one pass for the means, one for
+    the Gram matrix of the centred rows."""
     k = min(int(params.get("n_components", len(columns))), len(columns))
     df = df.withColumn("__x", dense(df, columns))
-    axes = _principal_axes(df.select(array_to_vector("__x").alias("__v")), k)
     means = df.agg(*[F.avg(F.col("__x")[i]) for i in range(len(columns))]).first()
-    return _project(df, name, axes, np.array(means, dtype=float) @ axes)
+    centre = np.nan_to_num(np.array(means, dtype=float))
+    axes = _principal_axes(df, len(columns), k, centre)
+    return _project(df, name, axes, centre @ axes)
 
 
 def lda(df: DataFrame, columns: Sequence[str], name: str, params: Mapping) -> DataFrame:
@@ -101,15 +124,16 @@ def nmf(df: DataFrame, columns: Sequence[str], name: str, params: Mapping) -> Da
     """Non-negative factors x ~ w . h; negative values count as 0.
 
     The parts h (components x columns) are small and travel with the tasks.
-    The weights w are computed row by row; each pass returns only the two
-    small sums that update h.
+    The weights w are computed row by row; each pass over the written rows returns only the two
+    small sums that update h. Ends after ``max_iter`` passes, or where no part changes by more than
+    ``tol`` of the largest.
     """
     k, d = int(params.get("n_components", 2)), len(columns)
     steps = int(params.get("inner_iter", 20))
     seed = int(params.get("random_state", 42))
     df = df.withColumn("__x", F.transform(dense(df, columns),
                                           lambda x: F.greatest(x, F.lit(0.0))))
-    rows = df.select("__x")
+    rows, tol = materialise(df.select("__x")), float(params.get("tol", 1e-4))
     h = np.random.default_rng(seed).uniform(0.1, 1.0, (k, d))
 
     def sums(parts: np.ndarray) -> np.ndarray:
@@ -134,7 +158,9 @@ def nmf(df: DataFrame, columns: Sequence[str], name: str, params: Mapping) -> Da
     for _ in range(int(params.get("max_iter", 10))):
         flat = sums(h)
         wx, ww = flat[:k * d].reshape(k, d), flat[k * d:].reshape(k, k)
-        h = h * wx / np.maximum(ww @ h, 1e-12)
+        before, h = h, h * wx / np.maximum(ww @ h, 1e-12)
+        if np.abs(h - before).max() <= tol * np.abs(h).max():
+            break
 
     mixture, parts = _row_mixture, h
 

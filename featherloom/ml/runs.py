@@ -11,9 +11,10 @@ from featherloom.ml.matrix import assemble, materialise
 from featherloom.ml.models import oof_predict, refit_full
 from featherloom.ml.stack import Stacked
 from featherloom.naming import format_run_name, quoted, run_folder
-from featherloom.operators.joins import outer_align
+from featherloom.operators.importance import DEFAULT_THRESHOLD, blacklist, importance_totals
+from featherloom.operators.joins import outer_align, union_rows
 from featherloom.operators.metrics import roc_auc
-from featherloom.operators.schema import feature_columns
+from featherloom.operators.schema import cull_features, feature_columns
 from featherloom.operators.splits import kfold, stratified_kfold
 from featherloom.report import Report, ensure
 from featherloom.sources.store import (
@@ -62,6 +63,41 @@ def produce_oof(train: DataFrame, test: DataFrame, model: str, params: Mapping,
     return names
 
 
+def stored_importances(spark: SparkSession, folder: str, names: Sequence[str],
+                       report: Report | None = None) -> DataFrame | None:
+    """Importance rows of all named runs, one below the other; None if no run has any.
+
+    Runs without importances, or that are missing, are reported and skipped.
+    """
+    report, found = ensure(report), []
+    for name in names:
+        table = read_store(spark, f"{folder}/{run_folder(name)}", ["feature_importance"])[
+            "feature_importance"]
+        if "feature" in table.columns:
+            found.append(table.select("feature", F.col("importance").cast("double")))
+        else:
+            report.skip("stored_importances", name, "no importances stored")
+    return union_rows(found) if found else None
+
+
+def cull_by_runs(df: DataFrame, folder: str, names: Sequence[str],
+                 threshold: float = DEFAULT_THRESHOLD, keep: Sequence[str] = (),
+                 report: Report | None = None) -> tuple[DataFrame, list[str]]:
+    """(table without the features of little importance, their names).
+
+    A feature goes if its importance, summed over all folds of all named runs, is at most
+    ``threshold``. Columns in ``keep``, and features that no run lists, stay. Only names of columns
+    of ``df`` come to the driver.
+    """
+    found = stored_importances(df.sparkSession, folder, names, report)
+    if found is None:
+        return df, []
+    mine = [c for c in df.columns if c not in set(keep)]
+    low = blacklist(importance_totals(found.where(F.col("feature").isin(mine))), threshold)
+    gone = sorted(r["feature"] for r in low.select("feature").collect())
+    return cull_features(df, gone), gone
+
+
 def load_external(spark: SparkSession, folder: str, sources: Mapping[str, Sequence[str]],
                   report: Report | None = None,
                   ) -> tuple[dict[str, list[DataFrame]], dict[str, list[DataFrame]]]:

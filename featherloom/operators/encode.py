@@ -4,8 +4,9 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
+from featherloom.ml.matrix import materialise
 from featherloom.naming import dummy_name, quoted
 from featherloom.operators.joins import lookup_join
 from featherloom.operators.rank import ordered_row_number
@@ -74,13 +75,30 @@ def one_hot(df: DataFrame, columns: Sequence[str] | None = None,
     return df.select(*kept, *[e.alias(n) for n, e in made.items()]), list(made), present
 
 
-def category_table(df: DataFrame, column: str, order_by: str) -> DataFrame:
-    """value, code in order of first appearance by ``order_by``, rows."""
-    first = (df.filter(quoted(column).isNotNull()).groupBy(quoted(column))
-             .agg(F.min(quoted(order_by)).alias("__first"), F.count(F.lit(1)).alias("__n")))
-    numbered = ordered_row_number(first, "__first", column, "__row")
-    return numbered.select(quoted(column), (F.col("__row") - 1).cast("int").alias("__code"),
-                           "__n")
+def _as_text(df: DataFrame, column: str) -> Column:
+    """The value as a string, equal where values are; -0.0 is 0.0."""
+    kind = df.schema[column].dataType
+    if isinstance(kind, (T.FloatType, T.DoubleType)):
+        return (quoted(column) + F.lit(0.0).cast(kind)).cast("string")
+    return quoted(column).cast("string")
+
+
+def category_codes(df: DataFrame, columns: Sequence[str], order_by: str) -> DataFrame:
+    """column (its number), value (as a string), code, n: the codes of all columns as one table.
+
+    Codes follow the first appearance by ``order_by`` within a column, ties the digest of the value.
+    ``df`` is read once; the counts and the codes are written, so nothing else reads it again.
+    """
+    pairs = F.array(*[F.struct(F.lit(i).alias("column"), _as_text(df, c).alias("value"))
+                      for i, c in enumerate(columns)])
+    tall = df.select(quoted(order_by).alias("first"), F.explode(pairs).alias("pair"))
+    counted = materialise(
+        tall.select("first", "pair.*").where(F.col("value").isNotNull())
+        .groupBy("column", "value").agg(F.min("first").alias("first"),
+                                        F.count(F.lit(1)).alias("n")))
+    numbered = ordered_row_number(counted, "first", "value", "__row", by=["column"])
+    return materialise(numbered.select(
+        "column", "value", (F.col("__row") - 1).cast("int").alias("code"), "n"))
 
 
 def factorize(df: DataFrame, columns: Sequence[str], order_by: str,
@@ -90,14 +108,18 @@ def factorize(df: DataFrame, columns: Sequence[str], order_by: str,
     present, absent = check_columns(df, sorted(columns))
     for c in absent:
         report.skip("factorize", c, "absent column")
-    # every code table starts from the input, not from the previous join
-    tables = [category_table(df, c, order_by).withColumnRenamed("__code", f"__code_{c}")
-              for c in present]
-    names = df.columns
-    for c, table in zip(present, tables):
-        df = lookup_join(df, table, c, "__n")
-    return df.select(*[F.coalesce(quoted(f"__code_{c}"), F.lit(-1)).alias(c)
-                       if c in present else quoted(c) for c in names])
+    if not present:
+        return df
+    codes, names = category_codes(df, present, order_by), df.columns
+    df = df.withColumns({f"__value_{i}": _as_text(df, c) for i, c in enumerate(present)})
+    for i in range(len(present)):
+        table = codes.where(F.col("column") == i).select(
+            F.col("value").alias(f"__value_{i}"), F.col("code").alias(f"__code_{i}"),
+            F.col("n").alias("__n"))
+        df = lookup_join(df, table, f"__value_{i}", "__n")
+    place = {c: i for i, c in enumerate(present)}
+    return df.select(*[F.coalesce(quoted(f"__code_{place[c]}"), F.lit(-1)).alias(c)
+                       if c in place else quoted(c) for c in names])
 
 
 def class_weights(df: DataFrame, target: str, name: str = "class_weight",
@@ -144,3 +166,34 @@ def balanced_weight(df: DataFrame, target: str, limit: int = 1000) -> Column:
         weight = F.when(quoted(target) == r["c"],
                         F.lit(rows / (len(counts) * r["n"]))).otherwise(weight)
     return weight
+
+
+def category_share_rows(df: DataFrame, by: Sequence[str], column: str) -> DataFrame:
+    """(keys, value, n, share): how the rows of each key spread over the values of a column.
+
+    Any number of values, one row each, so no key is gathered. A missing value is ``nan``, as in the
+    names of dummies; rows with a missing key are dropped.
+    """
+    keys = [quoted(k) for k in by]
+    present = df.dropna(subset=list(by))
+    value = F.coalesce(_as_text(df, column), F.lit("nan"))
+    counted = present.groupBy(*keys, value.alias("value")).agg(F.count(F.lit(1)).alias("n"))
+    total = F.sum("n").over(Window.partitionBy(*keys))
+    return counted.withColumn("share", F.col("n") / total)
+
+
+def category_shares(df: DataFrame, by: Sequence[str], column: str, name: str = "shares",
+                    ) -> DataFrame:
+    """One row per key with a map from value to share: the sparse form of all dummies' means.
+
+    There is no limit on the number of values; a key holds those that it has. A value that a key
+    lacks has share 0.
+    """
+    entries = F.array_sort(F.collect_list(F.struct("value", "share")))
+    return category_share_rows(df, by, column).groupBy(*[quoted(k) for k in by]).agg(
+        F.map_from_entries(entries).alias(name))
+
+
+def share_of(shares: Column, value: str) -> Column:
+    """Share of a value in a map of ``category_shares``, 0 where it does not occur."""
+    return F.coalesce(F.try_element_at(shares, F.lit(value)), F.lit(0.0))

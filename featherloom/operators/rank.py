@@ -15,6 +15,7 @@ from decimal import Decimal
 from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
 from featherloom.functions.columns import key_digest, nan_to_null
+from featherloom.ml.matrix import materialise
 from featherloom.naming import quoted
 from featherloom.operators.joins import lookup_join
 
@@ -176,6 +177,19 @@ def value_positions(df: DataFrame, column: str, by: Sequence[str] = (),
     return prefix_sums(counted, column, ["n"], by, cuts)
 
 
+def tall_positions(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """column (its number), value, n, n_before, n_total of columns of one type, as written rows.
+
+    ``df`` is read once, whatever the number of columns; missing values are left out.
+    """
+    pairs = F.array(*[F.struct(F.lit(i).alias("column"), quoted(c).alias("value"))
+                      for i, c in enumerate(columns)])
+    tall = df.select(F.explode(pairs).alias("pair")).select("pair.*")
+    counted = materialise(tall.where(ordered_number(tall, "value").isNotNull())
+                          .groupBy("column", "value").agg(F.count(F.lit(1)).alias("n")))
+    return materialise(prefix_sums(counted, "value", ["n"], by=["column"]))
+
+
 def exact_quantiles(df: DataFrame, column: str, quantiles: Sequence[float],
                     by: Sequence[str] = (), names: Sequence[str] | None = None) -> DataFrame:
     """Quantiles with linear interpolation, one row per group."""
@@ -206,15 +220,17 @@ def pct_rank(df: DataFrame, columns: Sequence[str], suffix: str = "") -> DataFra
     Missing values stay missing and do not count. The ranks replace the column
     or, with a ``suffix``, go beside it.
     """
-    # every lookup table starts from the input, not from the previous join
-    cuts = range_cuts_of(df, [ordered_number(df, c) for c in columns]) if columns else []
-    tables = [value_positions(df, c, cuts=points).select(
-        quoted(c), quoted("n"), quoted("n_total"),
-        ((quoted("n_before") + (quoted("n") + 1) / F.lit(2.0)) / quoted("n_total"))
-        .alias(f"__pct_{c}")) for c, points in zip(columns, cuts)]
-    names, ranked = df.columns, set(columns)
-    for c, table in zip(columns, tables):
-        df = lookup_join(df, table, c, "n", "n_total")
+    names, ranked, kinds = df.columns, set(columns), {}
+    for c in columns:
+        kinds.setdefault(df.schema[c].dataType, []).append(c)
+    # the columns of one type are counted and ranked together, as one tall table
+    tables = [(same, tall_positions(df, same)) for same in kinds.values()]
+    for same, positions in tables:
+        rank = (F.col("n_before") + (F.col("n") + 1) / F.lit(2.0)) / F.col("n_total")
+        for i, c in enumerate(same):
+            table = positions.where(F.col("column") == i).select(
+                F.col("value").alias(c), "n", "n_total", rank.alias(f"__pct_{c}"))
+            df = lookup_join(df, table, c, "n", "n_total")
     kept = [quoted(f"__pct_{c}").alias(c) if c in ranked and not suffix else quoted(c)
             for c in names]
     beside = [quoted(f"__pct_{c}").alias(c + suffix) for c in columns] if suffix else []
@@ -239,6 +255,14 @@ def digest_row_number(df: DataFrame, key: str, seed: int, name: str,
     return _number(with_digest(df), counted, ["__b"], ["__d", key], by, name, total)
 
 
+def numbered_digests(df: DataFrame, digest: str, key: str, name: str, by: Sequence[str],
+                     total: str | None = None, digits: int = DIGEST_DIGITS) -> DataFrame:
+    """``digest_row_number`` for rows that carry their digests already; the digest column goes."""
+    df = df.withColumn("__d", quoted(digest)).drop(digest)
+    df = df.withColumn("__b", F.substring("__d", 1, digits))
+    return _number(df, df, ["__b"], ["__d", key], by, name, total)
+
+
 def ordered_row_number(df: DataFrame, order_by: str, key: str, name: str,
                        seed: int = 0, by: Sequence[str] = (),
                        total: str | None = None, buckets: int = BUCKETS) -> DataFrame:

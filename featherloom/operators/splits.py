@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from featherloom.functions.columns import key_digest
 from featherloom.naming import quoted
-from featherloom.operators.rank import digest_row_number, ordered_row_number
+from featherloom.operators.rank import digest_row_number, numbered_digests, ordered_row_number
 
 
 def kfold(df: DataFrame, key: str, k: int, seed: int = 42, name: str = "fold") -> DataFrame:
@@ -42,22 +43,39 @@ def shuffle_split(df: DataFrame, key: str, n_splits: int, test_size: float | int
                   train_size: float | int | None = None, seed: int = 42,
                   name: str = "split") -> DataFrame:
     """Adds ``{name}_{i}`` per split: train, valid, or missing for unused rows."""
-    source = df
-    for i in range(n_splits):
-        df = digest_row_number(df, key, seed + i, "__i", total="__t", source=source)
-        df = df.withColumn(f"{name}_{i}", _role(test_size, train_size)).drop("__i", "__t")
-    return df
+    return _roles(df, key, [], n_splits, test_size, train_size, seed, name)
+
+
+def _roles(df: DataFrame, key: str, by: list[str], n_splits: int, test_size: float | int,
+           train_size: float | int | None, seed: int, name: str) -> DataFrame:
+    """All splits at once: one ranking of the (split, key) pairs and one join back.
+
+    Rows of one key are told apart by their number; their roles are dealt in any order.
+    """
+    keys = [quoted(c).alias(f"__by{i}") for i, c in enumerate(by)]
+    digests = F.array(*[F.struct(F.lit(s).alias("__split"), key_digest(quoted(key), seed + s)
+                                 .alias("__digest")) for s in range(n_splits)])
+    tall = df.select(quoted(key).alias("__key"), *keys, F.explode(digests).alias("__one")).select(
+        "__key", *[f"__by{i}" for i in range(len(by))], "__one.*")
+    ranked = numbered_digests(tall, "__digest", "__key", "__i",
+                              ["__split", *[f"__by{i}" for i in range(len(by))]], "__t")
+    role = ranked.withColumn("__role", _role(test_size, train_size))
+    nth = Window.partitionBy("__key", "__split").orderBy("__i")
+    wide = (role.withColumn("__nth", F.row_number().over(nth)).groupBy("__key", "__nth").agg(*[
+        F.max(F.when(F.col("__split") == s, F.col("__role"))).alias(f"{name}_{s}")
+        for s in range(n_splits)]))
+    mine = df.withColumn("__nth", F.row_number().over(
+        Window.partitionBy(quoted(key)).orderBy(*[quoted(c) for c in by] or [quoted(key)])))
+    match = quoted(key).eqNullSafe(F.col("__key")) & (F.col("__nth") == F.col("__mth"))
+    return mine.join(wide.withColumnRenamed("__nth", "__mth"), match, "left").drop(
+        "__nth", "__mth", "__key")
 
 
 def stratified_shuffle_split(df: DataFrame, key: str, target: str, n_splits: int,
                              test_size: float, train_size: float | None = None,
                              seed: int = 42, name: str = "split") -> DataFrame:
     """Like shuffle_split with the shares taken within each class."""
-    source = df
-    for i in range(n_splits):
-        df = digest_row_number(df, key, seed + i, "__i", [target], "__t", source)
-        df = df.withColumn(f"{name}_{i}", _role(test_size, train_size)).drop("__i", "__t")
-    return df
+    return _roles(df, key, [target], n_splits, test_size, train_size, seed, name)
 
 
 def time_series_split(df: DataFrame, key: str, order_by: str, k: int,

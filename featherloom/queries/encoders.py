@@ -6,10 +6,12 @@ from collections.abc import Mapping
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from featherloom.ml.reduce import decompose
-from featherloom.operators.encode import class_weights, factorize, one_hot
+from featherloom.ml.reduce import decompose, gram
+from featherloom.ml.runs import cull_by_runs
+from featherloom.operators.encode import category_shares, class_weights, factorize, one_hot
 from featherloom.queries import fixtures as fx
-from featherloom.queries.registry import query
+from featherloom.queries.registry import query, rounded
+from featherloom.sources.store import shared_folder, write_store
 
 _PRIORITIES = ("1-URGENT", "2-HIGH", "3-MEDIUM", "4-NOT SPECIFIED", "5-LOW")
 
@@ -74,6 +76,64 @@ def reduce_lda_mixture(spark: SparkSession, folder: str) -> DataFrame:
     return out.select("vec_id", F.round(sum(parts, F.lit(0.0)), 6).alias("whole"))
 
 
+@query("gram_matrix", """
+with x as (select vec_id, unnest(embedding)::double as v,
+                  generate_subscripts(embedding, 1) - 1 as i from embeddings)
+select a.i::int as i, b.i::int as j, round(sum(a.v * b.v), 6) as value
+from x a join x b on a.vec_id = b.vec_id and a.i <= b.i group by 1, 2""")
+def gram_matrix(spark: SparkSession, folder: str) -> DataFrame:
+    """Sums of products of all pairs of embedding dimensions."""
+    return rounded(gram(fx.vectors(spark, folder), "x", 64))
+
+
+@query("reduce_pca_covariances", """
+select i::int as i, j::int as j, true as centred, true as uncorrelated, true as ordered
+from (select unnest(range(4)) as i), (select unnest(range(4)) as j)
+where i < j and (select count(*) from embeddings) > 0""")
+def reduce_pca_covariances(spark: SparkSession, folder: str) -> DataFrame:
+    """Components have mean 0, no covariance, and falling variances."""
+    out, n = reduce_pca(spark, folder), 4
+    names = [c for c in out.columns if c != "vec_id"]
+    sums = out.agg(*[F.avg(c).alias(f"m{i}") for i, c in enumerate(names)],
+                   *[F.covar_pop(names[i], names[j]).alias(f"c{i}{j}")
+                     for i in range(n) for j in range(i, n)])
+    pairs = F.array(*[F.struct(
+        F.lit(i).alias("i"), F.lit(j).alias("j"),
+        ((F.abs(f"m{i}") < 1e-9) & (F.abs(f"m{j}") < 1e-9)).alias("centred"),
+        (F.abs(f"c{i}{j}") < 1e-9).alias("uncorrelated"),
+        (F.col(f"c{i}{i}") >= F.col(f"c{j}{j}")).alias("ordered"))
+        for i in range(n) for j in range(i + 1, n)])
+    return sums.select(F.explode(pairs).alias("pair")).select("pair.*")
+
+
+@query("agg_wide_category_share", """
+select l_suppkey, cast(l_orderkey as varchar) as value,
+       round(count(*) / sum(count(*)) over (partition by l_suppkey), 9) as share
+from lineitem group by l_suppkey, l_orderkey""")
+def agg_wide_category_share(spark: SparkSession, folder: str) -> DataFrame:
+    """Shares of a column with thousands of values, as one map per key."""
+    shares = category_shares(fx.table(spark, folder, "lineitem"), ["l_suppkey"], "l_orderkey")
+    return rounded(shares.select("l_suppkey", F.explode("shares").alias("value", "share")), 9)
+
+
+@query("cull_by_runs", fx.FX + """
+select o_orderkey, (o_orderpriority = '1-URGENT')::int as "o_orderpriority_1-URGENT",
+       (o_orderpriority = '2-HIGH')::int as "o_orderpriority_2-HIGH", 0 as o_orderpriority_nan
+from fx_prev""")
+def cull_by_stored_runs(spark: SparkSession, folder: str) -> DataFrame:
+    """Importances of two stored runs, their totals, the list of low ones and the smaller matrix."""
+    rows = fx.prev(spark, folder)
+    matrix, _, _ = one_hot(rows.select("o_orderkey", "o_orderpriority"))
+    store = shared_folder(spark)
+    for run in (0, 1):
+        weight = F.when(F.col("o_orderpriority") < "3", 10.0 + F.col("o_totalprice")).otherwise(0.0)
+        write_store(spark, f"{store}/run{run}", {"feature_importance": rows.where(
+            F.col("o_orderkey") % 2 == run).select(
+                F.concat(F.lit("o_orderpriority_"), "o_orderpriority").alias("feature"),
+                weight.alias("importance"), (F.col("o_custkey") % 5).alias("fold"))})
+    return cull_by_runs(matrix, store, ["run0", "run1", "missing"], keep=["o_orderkey"])[0]
+
+
 @query("reduce_svd")
 def reduce_svd(spark: SparkSession, folder: str) -> DataFrame:
     return _reduced(spark, folder, "SVD", "TruncatedSVD", {"n_components": 4})

@@ -123,9 +123,22 @@ def model_elastic_net(spark: SparkSession, folder: str) -> DataFrame:
         "max_iter": 30, "class_weight": "balanced"})
 
 
-@query("model_gaussian_nb")
+@query("model_gaussian_nb", """
+with x as (select vec_id, (label > 4)::int as label, unnest(embedding)::double as v,
+                  generate_subscripts(embedding, 1) as i from embeddings),
+e as (select max(s) * 1e-9 as least from (select var_pop(v) as s from x group by i)),
+c as (select label, i, avg(v) as m, var_pop(v) + (select least from e) as s from x group by 1, 2),
+p as (select (label > 4)::int as label, ln(count(*) / (select count(*) from embeddings)) as prior
+      from embeddings group by 1),
+l as (select x.vec_id, c.label, sum(-0.5 * (ln(2 * pi() * s) + (v - m) * (v - m) / s)) as fit
+      from x join c using (i) group by 1, 2),
+f as (select vec_id, sum(case when p.label = 1 then fit + prior end)
+             - sum(case when p.label = 0 then fit + prior end) as odds
+      from l join p using (label) group by 1)
+select vec_id as key, (label > 4)::int as label, round(1 / (1 + exp(-odds)), 6) as proba
+from embeddings join f using (vec_id)""")
 def model_gaussian_nb(spark: SparkSession, folder: str) -> DataFrame:
-    return _fitted(spark, folder, "GaussianNB", {})
+    return rounded(_fitted(spark, folder, "GaussianNB", {}))
 
 
 @query("nb_class_stats", """
