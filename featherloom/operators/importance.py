@@ -6,6 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, functions as F
 
+from featherloom.ml.matrix import materialise
 from featherloom.naming import quoted
 from featherloom.operators.rank import exact_quantiles
 
@@ -24,7 +25,8 @@ def importance_totals(df: DataFrame, feature: str = "feature",
 def importance_profile(totals: DataFrame, quantiles: Sequence[float] = PROFILE_QUANTILES,
                        importance: str = "importance") -> DataFrame:
     """One row: count, mean, std, min, quantiles (linear interpolation), max."""
-    x = quoted(importance)
+    # the totals are few rows: written once, so their input is read once
+    totals, x = materialise(totals), quoted(importance)
     names = [f"p{round(q * 100)}" for q in quantiles]
     spread = (exact_quantiles(totals, importance, quantiles, names=names)
               .select(F.struct(*names).alias("q")).scalar())
