@@ -190,8 +190,8 @@ def _has_key(keys: Sequence[str]) -> Column:
 
 
 def carried_categories(child_agg: DataFrame, child_dummies: Sequence[str]) -> list[str]:
-    """Columns of a child aggregate that stem from its category columns."""
-    return [c for c in child_agg.columns if any(d in c for d in child_dummies)]
+    """Columns of a child aggregate that stem from its category columns, by whole name parts."""
+    return [c for c in child_agg.columns if any(f"_{d}_" in f"_{c}_" for d in child_dummies)]
 
 
 def two_level(child: DataFrame, parent: DataFrame, child_specs: Sequence[Mapping],

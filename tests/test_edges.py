@@ -270,3 +270,10 @@ def test_run_name_round_trip(spark):
     parts = wrapped.select(*[c.alias(n) for n, c in parse_run_name(F.col("x")).items()]).first()
     assert list(parts)[:5] == [1, "my_xgb", 531, 0.79357, 5]
     assert str(parts["timestamp"]) == "2018-08-30 00:14:00"
+
+
+def test_carried_categories_by_whole_names(spark):
+    from featherloom.operators.aggregate import carried_categories
+    df = spark.createDataFrame([(1, 2.0, 3.0, 4.0)], "k long, H_A_1_MEAN double, "
+                                                     "H_A_10_MEAN double, H_BA_1_MEAN double")
+    assert carried_categories(df, ["A_1"]) == ["H_A_1_MEAN"]
