@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from featherloom.ml.matrix import assemble, materialise
 from featherloom.ml.models import oof_predict, refit_full
-from featherloom.ml.stack import Stacked
+from featherloom.ml.stack import Stacked, stack_fit_predict, stack_fit_transform
 from featherloom.naming import format_run_name, quoted, run_folder
 from featherloom.operators.importance import DEFAULT_THRESHOLD, blacklist, importance_totals
 from featherloom.operators.joins import outer_align, union_rows
@@ -147,3 +147,29 @@ def write_stack(spark: SparkSession, folder: str, prefix: str, stacked: Mapping[
         spark, folder, prefix, run, outer_align([s.train_meta for s in stacked.values()], key),
         outer_align([s.test_meta for s in stacked.values()], key), level)
     return names
+
+
+def run_stack(train: DataFrame, test: DataFrame, zoo: Mapping[str, Mapping],
+              level1: Sequence[Mapping], level2: Sequence[Mapping], folder: str, prefix: str,
+              key: str, label: str, columns: Sequence[str], folds: int,
+              sources: Mapping[str, Sequence[str]] | None = None, tuned: Mapping | None = None,
+              time: datetime | None = None, report: Report | None = None,
+              ) -> dict[int, dict[str, str]]:
+    """Both levels of a stack, each fitted, written and read back; run names by level.
+
+    Level 2 takes the latest meta features of level 1 in ``folder`` and the stored out-of-fold runs
+    named in ``sources``. A level without specs is left as it is stored, so a broken run can go on
+    at level 2.
+    """
+    spark, report, names = train.sparkSession, ensure(report), {}
+    if level1:
+        _, _, done = stack_fit_transform(train, test, level1, zoo, key, label, columns, tuned,
+                                         report)
+        names[1] = write_stack(spark, folder, prefix, done, key, label, train, folds, 1, time)
+    if level2:
+        meta = latest_meta(spark, folder, prefix)
+        external = load_external(spark, folder, sources or {}, report)
+        done = stack_fit_predict(train, test, level2, zoo, key, label, external, meta, tuned,
+                                 report)
+        names[2] = write_stack(spark, folder, prefix, done, key, label, train, folds, 2, time)
+    return names

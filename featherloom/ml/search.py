@@ -13,6 +13,7 @@ from featherloom.functions.columns import unit_interval
 from featherloom.ml.matrix import materialise
 from featherloom.ml.models import cross_val_scores, oof_predict
 from featherloom.naming import quoted
+from featherloom.operators.joins import union_rows
 from featherloom.operators.rank import running_best
 from featherloom.operators.splits import (
     kfold, shuffle_split, stratified_kfold, stratified_shuffle_split, time_series_split)
@@ -184,3 +185,25 @@ def search(train: DataFrame, task: str, model: str, config: Mapping, key: str =
     if folder:
         save_params(spark, folder, task, params, best["score"])
     return params, best_so_far(trials)
+
+
+def search_models(train: DataFrame, configs: Mapping[str, Mapping], key: str = "key",
+                  label: str = "label", features: str = "features", folder: str | None = None,
+                  parallelism: int = 4, report: Report | None = None,
+                  ) -> tuple[dict[str, dict], DataFrame | None]:
+    """(best parameters by task, trials of all tasks) of one search per task.
+
+    A config is that of ``search`` with the ``model`` to fit. A task whose search fails is reported
+    and skipped; without any other there are no trials (None). The rows are written once.
+    """
+    report, best, tables = ensure(report), {}, []
+    rows = materialise(train)
+    for task, config in configs.items():
+        try:
+            best[task], trials = search(rows, task, config["model"], config, key, label, features,
+                                        folder, parallelism, report)
+        except Exception as error:  # whatever one model's fits raise, the others go on
+            report.skip("search_models", task, f"{type(error).__name__}: {error}")
+            continue
+        tables.append(trials)
+    return best, union_rows(tables) if tables else None

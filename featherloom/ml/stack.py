@@ -78,7 +78,7 @@ def fit_stacker(train: DataFrame, test: DataFrame, spec: Mapping,
     test rows they come from bases refit on all train rows.
     """
     report = ensure(report)
-    name, folds = spec.get("name", "foobar"), int(spec.get("cv", 3))
+    name, folds = spec["name"], int(spec.get("cv", 3))
     seed = int(spec.get("seed", 42))
     original = bool(spec.get("use_features", True))
     if spec.get("stratify", True):
@@ -127,7 +127,7 @@ def stack_fit_transform(train: DataFrame, test: DataFrame, specs: Sequence[Mappi
     done: dict[str, Stacked] = {}
     for spec in specs:
         bases = [resolve_model(zoo[s], zoo, tuned) for s in spec["sources"]]
-        done[spec.get("name", "foobar")] = fit_stacker(
+        done[spec["name"]] = fit_stacker(
             train, test, spec, bases, _meta_model(spec, zoo, tuned), key, label, columns, report)
     return (outer_align([s.train_meta for s in done.values()], key),
             outer_align([s.test_meta for s in done.values()], key), done)
@@ -173,7 +173,7 @@ def stack_fit_predict(train: DataFrame, test: DataFrame, specs: Sequence[Mapping
     out: dict[str, Stacked] = {}
     for spec in specs:
         bases = [resolve_model(b, zoo, tuned) for b in spec["base_classifiers"]]
-        out[spec.get("name", "foobar")] = fit_stacker(
+        out[spec["name"]] = fit_stacker(
             labelled, test_in, spec, bases, _meta_model(spec, zoo, tuned), key, label, columns,
             report)
     return out

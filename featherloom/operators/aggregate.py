@@ -31,7 +31,7 @@ class _Part:
 
 def _outputs(df: DataFrame, spec: Mapping, keys: Sequence[str],
              cat_cols: Sequence[str], report: Report) -> list[tuple[str, str, str]]:
-    header = spec.get("header", "foobar")
+    header = spec["header"]
     num, cat = spec.get("num", {}), list(spec.get("cat", []))
     wanted = {c: list(fs) for c, fs in num.items() if fs}
     if cat:
@@ -107,7 +107,7 @@ def _grouped(df: DataFrame, keys: Sequence[str], parts: Sequence[_Part],
 def aggregate(df: DataFrame, by: str | Sequence[str],
               num: Mapping[str, Sequence[str]] | None = None,
               cat_cols: Sequence[str] = (), cat: Sequence[str] = (),
-              header: str = "foobar", count: bool = False,
+              header: str = "ALL", count: bool = False,
               report: Report | None = None) -> DataFrame:
     """One group-by with generated names; rows with a missing key are left out."""
     report = ensure(report)
@@ -153,7 +153,7 @@ def aggregate_specs(df: DataFrame, specs: Sequence[Mapping],
     groups: dict[tuple[str, ...], list[_Part]] = {}
     to_check: list[tuple[tuple[str, ...], _Part, str]] = []
     for spec in specs:
-        header = spec.get("header", "foobar")
+        header = spec["header"]
         keys = _present_keys(df, spec.get("groupby", []), report)
         if not keys:
             report.skip("aggregate", header, "no group-by column")
@@ -162,7 +162,7 @@ def aggregate_specs(df: DataFrame, specs: Sequence[Mapping],
         if not rule:
             part = _Part(None, _outputs(df, spec, keys, cat_cols, report))
         else:
-            column, values = rule.get("column_name", "foobar"), list(rule.get("conditions", []))
+            column, values = rule.get("column_name"), list(rule.get("conditions", []))
             if column not in df.columns or not values:
                 report.skip("aggregate", header, f"subset column {column} absent or no values")
                 continue

@@ -305,17 +305,33 @@ def _number(df: DataFrame, counted: DataFrame, buckets: Sequence[str],
 
 def running_best(df: DataFrame, score: str, order_by: str, name: str,
                  by: Sequence[str] = ()) -> DataFrame:
-    """Running maximum of ``score`` by ``order_by`` within each ``by`` group."""
-    by = list(by)
-    keys = [quoted(k) for k in by]
-    value = ordered_number(df, order_by)
-    df = with_bucket(df, value, range_cuts(df, value), "__b")
-    tops = df.groupBy(*keys, "__b").agg(F.max(quoted(score)).alias("__m"))
+    """Running maximum of ``score`` by ``order_by`` within each ``by`` group.
+
+    Rows of equal order are one step: each sees the best of them all. They are reduced to one row
+    before anything is ordered, so a frequent order value, or a missing one, which comes first, is
+    no task's burden; the maxima of buckets and of the steps in them make up the rest.
+    """
+    step = _step_of(df, [*by, order_by])
+    rows = df.withColumn("__step", step)
+    steps = materialise(rows.groupBy("__step").agg(
+        F.max(quoted(score)).alias("__best"), F.count(F.lit(1)).alias("__n")))
+    keys = [f"__by{i}" for i in range(len(by))]
+    steps = steps.select("*", *[F.col("__step")[f"c{i}"].alias(k) for i, k in enumerate(keys)],
+                         F.col("__step")[f"c{len(by)}"].alias("__order"))
+    steps = with_bucket(steps, F.col("__order"), range_cuts(steps, F.col("__order")), "__b")
     below = Window.partitionBy(*keys).orderBy("__b").rowsBetween(Window.unboundedPreceding, -1)
-    tops = tops.select(*keys, "__b", F.max("__m").over(below).alias("__m"))
-    inside = (Window.partitionBy(*keys, "__b").orderBy(quoted(order_by))
+    tops = steps.groupBy(*keys, "__b").agg(F.max("__best").alias("__top")).select(
+        *keys, "__b", F.max("__top").over(below).alias("__low"))
+    inside = (Window.partitionBy(*keys, "__b").orderBy("__order")
               .rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    df = df.withColumn("__r", F.max(quoted(score)).over(inside))
-    return (_shift(df, tops, by, ["__b"])
-            .withColumn(name, F.greatest(quoted("__r"), quoted("__m")))
-            .drop("__b", "__r", "__m"))
+    found = _shift(steps.withColumn("__run", F.max("__best").over(inside)), tops, keys, ["__b"])
+    table = found.select("__step", "__n", F.greatest("__run", "__low").alias("__out"))
+    return (lookup_join(rows, table, "__step", "__n").drop("__step")
+            .withColumn(name, F.col("__out")).drop("__out"))
+
+
+def _step_of(df: DataFrame, columns: Sequence[str]) -> Column:
+    """The columns as one never-missing value to group and join by; the last one as its order."""
+    last = len(columns) - 1
+    return F.struct(*[(ordered_number(df, c) if i == last else quoted(c)).alias(f"c{i}")
+                      for i, c in enumerate(columns)])

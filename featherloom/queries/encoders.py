@@ -106,6 +106,56 @@ def reduce_pca_covariances(spark: SparkSession, folder: str) -> DataFrame:
     return sums.select(F.explode(pairs).alias("pair")).select("pair.*")
 
 
+@query("reduce_svd_orthogonal", """
+select i::int as i, j::int as j, true as orthogonal, true as ordered
+from (select unnest(range(4)) as i), (select unnest(range(4)) as j)
+where i < j and (select count(*) from embeddings) > 0""")
+def reduce_svd_orthogonal(spark: SparkSession, folder: str) -> DataFrame:
+    """Sums of products of two components vanish, and their squared lengths fall."""
+    out, n = reduce_svd(spark, folder), 4
+    x = [F.col(c) for c in out.columns if c != "vec_id"]
+    sums = out.agg(*[F.sum(x[i] * x[j]).alias(f"c{i}{j}") for i in range(n) for j in range(i, n)])
+    pairs = F.array(*[F.struct(
+        F.lit(i).alias("i"), F.lit(j).alias("j"),
+        (F.abs(f"c{i}{j}") < 1e-9 * F.col("c00")).alias("orthogonal"),
+        (F.col(f"c{i}{i}") >= F.col(f"c{j}{j}")).alias("ordered"))
+        for i in range(n) for j in range(i + 1, n)])
+    return sums.select(F.explode(pairs).alias("pair")).select("pair.*")
+
+
+@query("reduce_nmf_parts", "select vec_id, true as valid from embeddings")
+def reduce_nmf_parts(spark: SparkSession, folder: str) -> DataFrame:
+    """No factor is negative."""
+    out = reduce_nmf(spark, folder)
+    return out.select("vec_id", (F.array_min(F.array(
+        *[F.col(c) for c in out.columns if c != "vec_id"])) >= 0).alias("valid"))
+
+
+@query("reduce_projections_linear", """
+select label as digit, kind, true as linear, count(*) as n
+from embeddings, (values ('Gaussian'), ('Sparse')) kinds(kind) group by label, kind""")
+def reduce_projections_linear(spark: SparkSession, folder: str) -> DataFrame:
+    """The projection of each digit's mean vector is the mean of its vectors' projections."""
+    rows = fx.vectors(spark, folder)
+    names = [f"dim_{i:02d}" for i in range(64)]
+    single = rows.select("vec_id", "digit", *[F.col("x")[i].alias(n)
+                                              for i, n in enumerate(names)])
+    means = single.groupBy("digit").agg(*[F.avg(n).alias(n) for n in names]).withColumn(
+        "vec_id", F.lit(None).cast("long"))
+    both, found = single.unionByName(means), []
+    for kind in ("Gaussian", "Sparse"):
+        out = decompose(both, {"stems": ["dim_"], "methods": {"RP": {
+            "object": f"{kind}RandomProjection", "params": {"n_components": 4}}}})
+        parts = [c for c in out.columns if c.startswith("RP_")]
+        alone = F.col("vec_id").isNull()
+        apart = [F.abs(F.max(F.when(alone, F.col(c))) - F.avg(F.when(~alone, F.col(c)))) < 1e-9
+                 for c in parts]
+        found.append(out.groupBy("digit").agg(
+            F.array_min(F.array(*apart)).alias("linear"), F.count("vec_id").alias("n"))
+            .withColumn("kind", F.lit(kind)))
+    return found[0].unionByName(found[1])
+
+
 @query("agg_wide_category_share", """
 select l_suppkey, cast(l_orderkey as varchar) as value,
        round(count(*) / sum(count(*)) over (partition by l_suppkey), 9) as share

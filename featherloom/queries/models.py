@@ -14,10 +14,11 @@ from featherloom.ml.matrix import assemble, materialise
 from featherloom.ml.models import OutOfFold, cross_val_scores, fit, nb_class_stats, \
     oof_predict, refit_full
 from featherloom.ml.neighbours import knn_votes
-from featherloom.ml.runs import load_external, produce_oof
-from featherloom.ml.search import integer, real, sample_trials, search
+from featherloom.ml.runs import load_external, produce_oof, run_stack
+from featherloom.ml.search import integer, real, sample_trials, search, search_models
 from featherloom.ml.stack import (
     resolve_params, stack_fit_predict, stack_fit_transform, stack_meta_inputs)
+from featherloom.naming import run_folder
 from featherloom.operators.clean import split_labelled
 from featherloom.operators.encode import one_hot
 from featherloom.operators.joins import union_rows
@@ -25,6 +26,7 @@ from featherloom.operators.schema import feature_columns
 from featherloom.operators.splits import stratified_kfold
 from featherloom.queries import fixtures as fx
 from featherloom.queries.registry import query, rounded
+from featherloom.report import Report
 from featherloom.sources.store import read_store, shared_folder, write_store
 
 
@@ -259,6 +261,22 @@ def model_refit_full(spark: SparkSession, folder: str) -> DataFrame:
                       "target")
 
 
+@query("model_refit_coverage", """
+select doc_id, true as valid from documents left join labels using (doc_id)
+where quality is null""")
+def model_refit_coverage(spark: SparkSession, folder: str) -> DataFrame:
+    """The refit on all labelled documents predicts every other one once."""
+    return model_refit_full(spark, folder).select(
+        "doc_id", F.col("proba").between(0, 1).alias("valid"))
+
+
+@query("model_bagging_coverage", """
+select vec_id as key, true as valid from embeddings""")
+def model_bagging_coverage(spark: SparkSession, folder: str) -> DataFrame:
+    """Every vector has one mean probability of all bags."""
+    return model_bagging(spark, folder).select("key", F.col("proba").between(0, 1).alias("valid"))
+
+
 @query("model_importance")
 def model_importance(spark: SparkSession, folder: str) -> DataFrame:
     _, _, run = _oof(spark, folder, "RandomForestClassifier", {
@@ -353,6 +371,53 @@ def search_cv_score(spark: SparkSession, folder: str) -> DataFrame:
     return cross_val_scores(run.train_oof, "roc_auc", "target")
 
 
+@query("search_fold_scores", fx.FX + """,
+p as (select cast(c_custkey % 3 as int) as fold, target::int as y,
+             ('0x' || md5(c_custkey || '|1')[:8])::bigint / 4294967296.0 as p
+      from fx_main where target is not null),
+r as (select *, rank() over (partition by fold order by p)
+                + (count(*) over (partition by fold, p) - 1) / 2 as r from p)
+select fold, round((sum(r) filter (y = 1) - sum(y) * (sum(y) + 1) / 2)
+                   / (sum(y) * (count(*) - sum(y))), 9) as auc,
+       round(avg(ln(case when y = 1 then p else 1 - p end)), 9) as neg_log_loss
+from r group by fold""")
+def search_fold_scores(spark: SparkSession, folder: str) -> DataFrame:
+    """Scores of each fold by two metrics; larger is better in both."""
+    rows = fx.main(spark, folder).where("target is not null").select(
+        (F.col("c_custkey") % 3).cast("int").alias("fold"), F.col("target").cast("int").alias("y"),
+        unit_interval(key_digest(F.col("c_custkey"), 1)).alias("proba"))
+    auc, loss = (cross_val_scores(rows, metric, "y").withColumnRenamed("score", name)
+                 for metric, name in (("roc_auc", "auc"), ("neg_log_loss", "neg_log_loss")))
+    return rounded(auc.join(loss, "fold"), 9)
+
+
+@query("search_models", """
+with u as (
+  select trial, ('0x' || md5('alpha|' || trial || '|42')[:8])::bigint / 4294967296.0 as a,
+         ('0x' || md5('l1_ratio|' || trial || '|42')[:8])::bigint / 4294967296.0 as b
+  from (select unnest(range(2)) as trial) where (select count(*) from embeddings) > 0)
+select 'Linear' as task, trial, round(0.0001 * exp(a * ln(1000.0)), 9) as alpha,
+       round(b * 0.5, 9) as l1_ratio, true as rising from u""")
+def searches(spark: SparkSession, folder: str) -> DataFrame:
+    """One search fails and is skipped; the other's first trials are the draws of the whole space."""
+    config = {"search_settings": {"n_calls": 2, "n_inits": 2, "random_state": 42},
+              "evaluation_settings": {"validation": "StratifiedKFold", "nr_fold": 2,
+                                      "split_seed": 538, "eval_metric": "roc_auc"},
+              "initialize": {"max_iter": 5},
+              "search_space": {"alpha": real(1e-4, 1e-1, "log-uniform"),
+                               "l1_ratio": real(0.0, 0.5)}}
+    report = Report()
+    best, trials = search_models(
+        _embeddings(spark, folder), {"Unknown": {"model": "NoSuchModel", **config},
+                                     "Linear": {"model": "SGDClassifier", **config}},
+        report=report)
+    assert list(best) == ["Linear"] and report.names("search_models") == ["Unknown"]
+    drawn = F.from_json("params", "alpha double, l1_ratio double")
+    return rounded(trials.select(
+        "task", "trial", drawn["alpha"].alias("alpha"), drawn["l1_ratio"].alias("l1_ratio"),
+        (F.col("best_score") >= F.col("score")).alias("rising")), 9)
+
+
 @query("search_trials")
 def search_trials(spark: SparkSession, folder: str) -> DataFrame:
     rows = materialise(_embeddings(spark, folder))
@@ -405,6 +470,38 @@ def stack_level2(spark: SparkSession, folder: str) -> DataFrame:
     return out["TopStacker"].test_pred
 
 
+@query("stack_level1_pairs", """
+select doc_id, case when quality is null then 'test' else 'train' end as part, true as whole
+from documents left join labels using (doc_id)""")
+def stack_level1_pairs(spark: SparkSession, folder: str) -> DataFrame:
+    """Level 1 gives every document one row, and the two features of each base sum to 1."""
+    rows = stack_level1(spark, folder)
+    values = [c for c in rows.columns if c not in ("doc_id", "part")]
+    pairs = [F.abs(F.col(a) + F.col(b) - 1) < 1e-9
+             for a, b in zip(values[::2], values[1::2], strict=True)]
+    return rows.select("doc_id", "part", F.array_min(F.array(*pairs)).alias("whole"))
+
+
+@query("stack_run", """
+select doc_id, level, name, true as valid
+from documents left join labels using (doc_id), (values
+  (1, 'LinearStacker_base0'), (1, 'LinearStacker_base1'), (1, 'LinearStacker'),
+  (2, 'TopStacker_base0'), (2, 'TopStacker_base1'), (2, 'TopStacker')) runs(level, name)
+where quality is null""")
+def stack_run(spark: SparkSession, folder: str) -> DataFrame:
+    """Both levels written and read back: every run predicts each unlabelled document once."""
+    train, test, columns = _documents(spark, folder)
+    store = shared_folder(spark)
+    levels = run_stack(train, test, ZOO, LEVEL1, LEVEL2, store, "sample", "doc_id", "target",
+                       columns, 2)
+    return union_rows([
+        spark.read.schema("doc_id long, proba double").option("header", True)
+        .csv(f"{store}/sample_{run_folder(run)}")
+        .select("doc_id", F.lit(level).alias("level"), F.lit(name).alias("name"),
+                F.col("proba").between(0, 1).alias("valid"))
+        for level, names in levels.items() for name, run in names.items()])
+
+
 _RANKED = """
   select c_custkey, (rank() over (order by p) + (count(*) over (partition by p) - 1) / 2)
     / count(*) over () as v from """

@@ -8,8 +8,12 @@ from featherloom.naming import format_run_name, parse_run_name
 from featherloom.queries import fixtures as fx
 from featherloom.queries.registry import query
 from featherloom.report import Report
+from featherloom.ml.runs import latest_meta
+from featherloom.operators.schema import select_by_stem
+from featherloom.operators.topk import best_trial
 from featherloom.sources.store import (
-    describe_store, load_tables, read_store, shared_folder, write_predictions, write_store)
+    describe_store, load_params, load_tables, read_store, save_params, shared_folder,
+    write_meta_features, write_predictions, write_store)
 
 
 @query("src_load_tables", "select c_custkey, c_nationkey, c_mktsegment, c_acctbal from customer")
@@ -82,3 +86,45 @@ def run_name_codec(spark: SparkSession, folder: str) -> DataFrame:
     time = F.date_format(parts.pop("timestamp").cast("timestamp"), "yyyy-MM-dd HH:mm")
     return named.select("o_orderkey", "run_name", *[c.alias(n) for n, c in parts.items()],
                         time.alias("run_time"))
+
+
+@query("store_meta_features", fx.FX + """
+select c_custkey, floor(c_acctbal / 8) as "L_0",
+       case when target is null then 'test' else 'train' end as part from fx_main""")
+def store_meta_features(spark: SparkSession, folder: str) -> DataFrame:
+    """Meta features of two runs; the latest pair of the level is read back."""
+    path, meta = shared_folder(spark), fx.main(spark, folder).select(
+        "c_custkey", F.floor(F.col("c_acctbal") / 8).cast("double").alias("L_0"), "target")
+    labelled = meta.where("target is not null").drop("target")
+    other = meta.where("target is null").drop("target")
+    write_meta_features(spark, path, "sample", "older", other, labelled)
+    write_meta_features(spark, path, "sample", "newer", labelled, other)
+    train, test = latest_meta(spark, path, "sample")
+    return (train.withColumn("part", F.lit("train"))
+            .unionByName(test.withColumn("part", F.lit("test"))))
+
+
+@query("store_params", fx.FX + """
+select task, cast(trial as bigint) as trial, score from (
+  select *, row_number() over (partition by task order by score desc, trial) as r from fx_trials)
+where r = 1""")
+def store_params(spark: SparkSession, folder: str) -> DataFrame:
+    """Parameters of each task's best and another trial, saved; the better ones are loaded."""
+    path, trials = shared_folder(spark), fx.trials(spark, folder)
+    best = best_trial(trials).collect()   # one row for each task
+    for r in best:
+        save_params(spark, path, r["task"], {"trial": -1, "score": 0.0}, r["score"] - 1)
+        save_params(spark, path, r["task"], {"trial": r["trial"], "score": r["score"]},
+                    r["score"], remove_old=False)
+    loaded = {r["task"]: load_params(spark, path, r["task"]) for r in best}
+    return spark.createDataFrame([(t, p["trial"], p["score"]) for t, p in loaded.items()],
+                                 "task string, trial long, score double")
+
+
+@query("select_by_stem", """
+select l_discount, l_extendedprice, l_linenumber, l_orderkey, l_partkey, l_suppkey from lineitem""")
+def columns_by_stem(spark: SparkSession, folder: str) -> DataFrame:
+    """Named columns and all whose names hold a stem, once each."""
+    rows = fx.table(spark, folder, "lineitem")
+    return rows.select(*select_by_stem(rows, ["key", "price", "disc"],
+                                       ["l_linenumber", "l_orderkey"]))

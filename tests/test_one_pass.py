@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from featherloom.ml.reduce import decompose, gram
 from featherloom.ml.runs import cull_by_runs
 from featherloom.operators.encode import category_shares, factorize, share_of
-from featherloom.operators.rank import pct_rank
+from featherloom.operators.rank import pct_rank, running_best
 from featherloom.operators.splits import shuffle_split, stratified_shuffle_split
 from featherloom.report import Report
 from featherloom.sources.store import write_store
@@ -123,3 +123,37 @@ def test_culling_by_runs(spark, tmp_path):
     assert (gone, out.columns) == (["b.c"], ["key", "a", "d"])
     assert report.names("stored_importances") == ["none"]
     assert cull_by_runs(df, str(tmp_path), [])[1] == []
+
+
+def test_running_best_of_a_frequent_order_value(spark):
+    rng = random.Random(3)
+    rows = [(rng.choice(["a", None]), rng.choice([None, float("nan"), 0.0, -0.0, 5.0, *range(9)])
+             if i % 3 else 4.0, rng.choice([None, float(i % 50)]), i) for i in range(900)]
+    rows = [(g, None if o is None else float(o), s, i) for g, o, s, i in rows]
+    df = spark.createDataFrame(rows, "g string, o double, s double, i long")
+    out = running_best(df, "s", "o", "best", ["g"])
+    assert out.columns == ["g", "o", "s", "i", "best"]
+    got = {r.i: r.best for r in out.collect()}
+
+    def place(o):
+        return float("-inf") if o is None or o != o else o
+    for g, o, _, i in rows:
+        seen = [s for h, p, s, _ in rows if h == g and place(p) <= place(o) and s is not None]
+        assert got[i] == max(seen, default=None)
+    assert running_best(df.limit(0), "s", "o", "best").count() == 0
+
+
+def test_rows_of_one_order_value_stay_apart(spark):
+    kept = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
+    spark.conf.set("spark.sql.adaptive.enabled", False)
+    try:
+        df = spark.range(0, 8000, 1, 16).select(
+            F.when(F.col("id") % 3 == 0, 7).otherwise(F.col("id")).alias("o"),
+            F.col("id").alias("s"))
+        out = running_best(df, "s", "o", "best")
+        hot = out.where("o = 7").groupBy(F.spark_partition_id()).count().collect()
+        assert max(r["count"] for r in hot) < 0.6 * sum(r["count"] for r in hot)
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", kept)
+        spark.conf.set("spark.sql.adaptive.enabled", True)
