@@ -90,15 +90,23 @@ PLAIN, MARKED, MIXED, OTHERS = 0, 1, 2, 3
 
 
 class Element:
-    __slots__ = ("tag", "path", "parent", "skipped", "parts", "size", "links", "mark")
+    __slots__ = ("tag", "step", "parent", "skipped", "parts", "size", "links", "mark")
 
-    def __init__(self, tag: str, path: str, parent: Element | None, skipped: bool,
+    def __init__(self, tag: str, step: str, parent: Element | None, skipped: bool,
                  mark: int = PLAIN) -> None:
-        self.tag, self.path, self.parent, self.skipped = tag, path, parent, skipped
+        self.tag, self.step, self.parent, self.skipped = tag, step, parent, skipped
         self.parts: list[str | Element | None] = []   # None stands for a line break
         self.size = self.links = 0
         self.mark = mark
 
+    def path(self) -> str:
+        """The steps from the root; built where it is asked for, as deep pages have long ones."""
+        steps, node = [], self
+        while node is not None:
+            steps.append(node.step)
+            node = node.parent
+        return "/".join(reversed(steps))
+
 
 def _attributes(text: str) -> tuple[str, bool, int]:
     """(class names, whether the element is hidden, what class, id and role say of it)."""
@@ -132,6 +140,17 @@ def parse(html: str) -> Element:
     node, at = root, 0
     length = len(html)
     marked = False
+    steps: dict[str, str] = {}   # one string for equal steps
+    opened: dict[str, int] = defaultdict(int)   # open elements by tag, so no end is sought in vain
+
+    def leave(element: Element) -> Element:
+        """Ends all up to an open element; what stays open is its parent."""
+        inner = node
+        while inner is not element.parent:
+            opened[inner.tag] -= 1
+            inner = inner.parent
+        return inner
+
     while at < length:
         start = html.find("<", at)
         if start < 0:
@@ -151,46 +170,47 @@ def parse(html: str) -> Element:
             continue
         tag = tag.lower()
         if closing:
-            other = node
-            while other.parent is not None and other.tag != tag:
-                other = other.parent
-            if other.parent is not None:
-                node = other.parent
+            if opened[tag]:
+                other = node
+                while other.tag != tag:
+                    other = other.parent
+                node = leave(other)
             elif tag == "br":
                 node.parts.append(None)
             continue
-        if tag in CLOSES_P:
+        if tag in CLOSES_P and opened["p"]:
             other = node
             while other.parent is not None and (other.tag in INLINE):
                 other = other.parent
             if other.tag == "p":
-                node = other.parent
-        elif tag in SIBLINGS:
+                node = leave(other)
+        elif tag in SIBLINGS and any(opened[t] for t in SIBLINGS[tag][0]):
             same, stop = SIBLINGS[tag]
             other = node
             while other.parent is not None and other.tag not in same and other.tag not in stop:
                 other = other.parent
             if other.tag in same:
-                node = other.parent
+                node = leave(other)
         if tag in VOID:
             if tag not in INLINE:
                 node.parts.append(None)
             continue
-        path, skipped, mark = node.path, True, PLAIN
+        step, skipped, mark = "", True, PLAIN
         if not node.skipped and tag not in SKIPPED:
             classes, skipped, mark = _attributes(attributes)
             skipped = skipped and tag not in ("html", "body", "main", "article")
             marked |= mark != PLAIN
         if not skipped:
             step = f"{tag}.{classes.replace(' ', '.')}" if classes else tag
-            path = f"{path}/{DIGITS.sub('0', step)}"
-        child = Element(tag, path, node, skipped, mark)
+            step = steps.setdefault(step, DIGITS.sub("0", step).replace("/", "|"))
+        child = Element(tag, step, node, skipped, mark)
         node.parts.append(child)
         if tag in RAW:
             end = re.compile(rf"</{tag}(?=[\s/>])[^>]*>", re.I).search(html, at)
             at = end.end() if end else length
         elif not attributes.rstrip().endswith("/") or tag not in ("svg", "math"):
             node = child
+            opened[tag] += 1
     if marked:
         _skip_marked(root)
     return root
@@ -278,7 +298,7 @@ def _boilerplate_beside(node: Element, top: Element) -> bool:
     for part in node.parts:
         if isinstance(part, str):
             rest += len(part.strip())
-        elif part is not None and not part.skipped and part.size and part.path != top.path:
+        elif part is not None and not part.skipped and part.size and part.step != top.step:
             if part.tag == "p" or part.tag in HEADINGS:
                 return False
             if part.links <= part.size:
@@ -306,14 +326,16 @@ def best_container(root: Element) -> Element:
 
 def elements_on(root: Element, path: str) -> list[Element]:
     """Topmost elements on a path, in page order."""
-    out, waiting = [], [root]
+    out, waiting, steps = [], [(root, 0)], path.split("/")
     while waiting:
-        node = waiting.pop()
-        if node.path == path:
+        node, depth = waiting.pop()
+        if node.step != steps[depth]:
+            continue
+        if depth + 1 == len(steps):
             out.append(node)
             continue
-        waiting += [p for p in reversed(node.parts) if isinstance(p, Element) and not p.skipped
-                    and path.startswith(p.path)]
+        waiting += [(p, depth + 1) for p in reversed(node.parts)
+                    if isinstance(p, Element) and not p.skipped]
     return out
 
 
@@ -390,7 +412,7 @@ def _votes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             root = page_tree(html)
             best = best_container(root)
             if best.size:
-                totals[host, best.path] += best.size / root.size
+                totals[host, best.path()] += best.size / root.size
         if len(totals) > 100_000:
             yield rows()
             totals.clear()
@@ -408,7 +430,7 @@ def _extract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             root = page_tree(html)
             chosen = elements_on(root, path) if path is not None else []
             text = block_text(chosen) if chosen else ""
-            texts.append(text or block_text(elements_on(root, best_container(root).path)))
+            texts.append(text or block_text(elements_on(root, best_container(root).path())))
         yield pa.RecordBatch.from_arrays(
             [*batch.columns[2:], pa.array(texts, pa.string())],
             names=[*batch.schema.names[2:], "text"])
@@ -420,7 +442,8 @@ def extract_text(df: DataFrame, html_column: str = "html", url_column: str = "ur
 
     Host paths are voted over all pages of the table. Null, empty or textless pages give ''. Pages
     without a URL or host vote together. Broken markup is read leniently: an unclosed comment or
-    script runs to the end of the page. Repeated rows vote each and get equal texts. An empty
+    script runs to the end of the page; elements below a depth of 200 are text of the one there.
+    Repeated rows vote each and get equal texts. An empty
     table gives an empty table. A column of ``keep`` named ``text`` is replaced.
     """
     keep = tuple(c for c in keep if c.lower() != "text")

@@ -1,9 +1,11 @@
 import html
 import re
+import tracemalloc
 
 import pytest
 
-from featherloom.llm.html_text import best_container, block_text, extract_text, page_tree
+from featherloom.llm.html_text import (
+    best_container, block_text, elements_on, extract_text, page_tree)
 from featherloom.llm.queries import op1_html_extraction
 
 
@@ -27,6 +29,24 @@ def test_own_container(page, text):
     assert own(page) == text
 
 
+@pytest.mark.parametrize("step", ["<div class='a'>", "<font>x</b>", "<div class='w-1/2'><p>"])
+def test_deep_pages_take_memory_by_their_length(step):
+    page = step * 50_000 + "<p>deep text at the end</p>"
+    tracemalloc.start()
+    try:
+        text = own(page)
+        assert tracemalloc.get_traced_memory()[1] < 200 << 20
+    finally:
+        tracemalloc.stop()
+    assert text.endswith("deep text at the end")
+
+
+def test_classes_with_slashes_are_one_step():
+    root = page_tree("<div class='w-1/2 b'><div><p>some text</p></div></div><div class='b'></div>")
+    best = best_container(root)
+    assert [block_text([e]) for e in elements_on(root, best.path())] == ["some text"]
+
+
 def test_articles_of_the_table(spark, folder):
     pages = spark.read.parquet(f"{folder}/pages.parquet").select("page_id", "html").collect()
     got = {r.page_id: r for r in op1_html_extraction(spark, folder).collect()}
