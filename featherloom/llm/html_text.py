@@ -4,7 +4,7 @@ First pass: every page is parsed, its containers are scored, and the path of tag
 leads to the best one, with digits generalised, is its vote. Spark sums the votes of each host and
 keeps the winning path. A container is left for a child only while nothing but boilerplate stays
 outside, and never below an article. Names that mark what is not the article cut an element only
-where the page has its text elsewhere. Second pass: the elements on the host's path are extracted; a page without
+where the page has its text elsewhere; a form counts as marked. Second pass: the elements on the host's path are extracted; a page without
 such an element falls back to its own best container.
 """
 
@@ -34,7 +34,7 @@ VOID = frozenset("area base br col embed hr img input link meta param source tra
 RAW = frozenset("script style textarea title xmp iframe noembed noframes".split())
 SKIPPED = frozenset((
     "script style noscript template iframe object svg math canvas head title nav header footer "
-    "aside form button select option input textarea label menu dialog xmp noembed noframes "
+    "aside button select option input textarea label menu dialog xmp noembed noframes "
     "audio video map").split())
 INLINE = frozenset((
     "a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd mark nobr q rp rt ruby "
@@ -196,8 +196,11 @@ def parse(html: str) -> Element:
                 node.parts.append(None)
             continue
         step, skipped, mark = "", True, PLAIN
-        if not node.skipped and tag not in SKIPPED:
+        # an article's own header holds its title
+        if not node.skipped and (tag not in SKIPPED or tag == "header" and opened["article"]):
             classes, skipped, mark = _attributes(attributes)
+            if tag == "form" and mark == PLAIN:
+                mark = MARKED
             skipped = skipped and tag not in ("html", "body", "main", "article")
             marked |= mark != PLAIN
         if not skipped:

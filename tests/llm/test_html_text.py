@@ -41,6 +41,23 @@ def test_deep_pages_take_memory_by_their_length(step):
     assert text.endswith("deep text at the end")
 
 
+def test_forms_and_headers_by_evidence():
+    wrapped = ("<body><form id='aspnetForm' class='{0}'><input value='x'><nav>menu</nav>"
+               "<div class='content'><h1>T</h1><p>" + "long article text " * 9 + "</p></div>"
+               "<div class='sidebar'><p>beside</p></div></form><div>a foot</div></body>")
+    for name in ("", "form", "page-form"):
+        assert own(wrapped.format(name)) == "T " + " ".join(["long article text"] * 9)
+    article = "<p>" + "the article itself " * 9 + "</p>"
+    text = " ".join(["the article itself"] * 9)
+    form = "<form><p>leave a comment, " + "write here " * 9 + "</p></form>"
+    assert own(f"<body><article>{article}{form}</article></body>") == text
+    assert own(f"<body><div class='content'>{article}</div>{form}</body>") == text
+    assert own(f"<body><header><h1>Site</h1></header><article><header><h1>Title</h1></header>"
+               f"{article}</article></body>") == f"Title {text}"
+    assert own(f"<body><article><header class='site-header'>x</header>{article}</article>"
+               "</body>") == text
+
+
 def test_classes_with_slashes_are_one_step():
     root = page_tree("<div class='w-1/2 b'><div><p>some text</p></div></div><div class='b'></div>")
     best = best_container(root)
