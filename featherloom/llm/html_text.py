@@ -5,7 +5,8 @@ leads to the best one, with digits generalised, is its vote. Spark sums the vote
 keeps the winning path. A container is left for a child only while nothing but boilerplate stays
 outside, and never below an article. Names that mark what is not the article cut an element only
 where the page has its text elsewhere; a form counts as marked. Second pass: the elements on the host's path are extracted; a page without
-such an element falls back to its own best container.
+such an element falls back to its own best container. Paths of hosts with over a thousandth of the
+pages are broadcast, so a large host's pages are spread like any others.
 """
 
 from __future__ import annotations
@@ -18,9 +19,10 @@ from html import unescape
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F, types as T
 
-from featherloom.llm.common import fresh
+from featherloom.llm.common import materialise
 from featherloom.llm.url_filter import host_of
 from featherloom.naming import quoted
+from featherloom.operators.joins import lookup_join
 
 #: Share of a container's text that a child must hold to be chosen in its place.
 DOMINANT = 0.6
@@ -400,14 +402,16 @@ def _spliced(element: Element) -> list:
 
 
 def _votes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Sums of the pages' votes for each host and path of a task."""
+    """Sums and numbers of the pages' votes for each host and path of a task."""
     totals: dict[tuple[str, str], float] = defaultdict(float)
+    counts: dict[tuple[str, str], int] = defaultdict(int)
 
     def rows() -> pa.RecordBatch:
         hosts, paths = zip(*totals, strict=True) if totals else ((), ())
         return pa.RecordBatch.from_arrays(
             [pa.array(hosts, pa.string()), pa.array(paths, pa.string()),
-             pa.array(totals.values(), pa.float64())], names=["host", "path", "votes"])
+             pa.array(totals.values(), pa.float64()), pa.array(counts.values(), pa.int64())],
+            names=["host", "path", "votes", "n"])
 
     for batch in batches:
         for host, html in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(),
@@ -415,10 +419,13 @@ def _votes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             root = page_tree(html)
             best = best_container(root)
             if best.size:
-                totals[host, best.path()] += best.size / root.size
+                vote = host, best.path()
+                totals[vote] += best.size / root.size
+                counts[vote] += 1
         if len(totals) > 100_000:
             yield rows()
             totals.clear()
+            counts.clear()
     yield rows()
 
 
@@ -450,20 +457,22 @@ def extract_text(df: DataFrame, html_column: str = "html", url_column: str = "ur
     table gives an empty table. A column of ``keep`` named ``text`` is replaced.
     """
     keep = tuple(c for c in keep if c.lower() != "text")
-    html, host = fresh(df, "page_html", "page_host")
-    pages = df.select(quoted(html_column).alias(html), host_of(quoted(url_column)).alias(host),
-                      *[quoted(c) for c in keep])
-    votes = (pages.where(F.length(html) > 0).select(host, html)
-             .mapInArrow(_votes, "host string, path string, votes double")
-             .groupBy("host", "path").agg(F.round(F.sum("votes"), 6).alias("votes")))
-    winners = votes.groupBy("host").agg(F.max_by("path", F.struct("votes", "path")).alias("path"))
-    names = fresh(pages, "won_host", "won_path")
-    winners = winners.select(F.col("host").alias(names[0]), F.col("path").alias(names[1]))
+    names = {c: f"k{i}" for i, c in enumerate(keep)}
+    pages = df.select(quoted(html_column).alias("html"), host_of(quoted(url_column)).alias("host"),
+                      *[quoted(c).alias(n) for c, n in names.items()])
+    votes = (pages.where(F.length("html") > 0).select("host", "html")
+             .mapInArrow(_votes, "host string, path string, votes double, n long")
+             .groupBy("host", "path").agg(F.round(F.sum("votes"), 6).alias("votes"),
+                                          F.sum("n").alias("n")))
+    # written once, as the paths of large hosts are broadcast and those of others are joined
+    winners = materialise(votes.groupBy("host").agg(
+        F.max_by("path", F.struct("votes", "path")).alias("path"), F.sum("n").alias("n")))
+    found = lookup_join(pages, winners, "host", "n")
     types = {f.name: f.dataType for f in df.schema}
-    schema = T.StructType([T.StructField(c, types[c]) for c in keep]
+    schema = T.StructType([T.StructField(n, types[c]) for c, n in names.items()]
                           + [T.StructField("text", T.StringType())])
-    return (pages.join(winners, quoted(host) == quoted(names[0]), "left")
-            .select(html, names[1], *[quoted(c) for c in keep]).mapInArrow(_extract, schema))
+    return (found.select("html", "path", *names.values()).mapInArrow(_extract, schema)
+            .select(*[F.col(n).alias(c) for c, n in names.items()], "text"))
 
 
 def page_texts(df: DataFrame) -> DataFrame:

@@ -1,8 +1,10 @@
 import html
 import re
 import tracemalloc
+from collections import Counter
 
 import pytest
+from pyspark.sql import functions as F
 
 from featherloom.llm.html_text import (
     best_container, block_text, elements_on, extract_text, page_tree)
@@ -91,6 +93,26 @@ def test_the_host_decides(spark):
     assert extract_text(df.limit(0)).count() == 0
 
 
+def test_pages_of_one_host_spread_over_tasks(spark):
+    rows = [(i, f"http://{'big.org' if i % 3 else f'h{i}.org'}/{i}", f"<p>text {i}</p>", "x", "y")
+            for i in range(3000)]
+    df = spark.createDataFrame(rows, "page_id long, url string, html string, __hot string, "
+                                     "`k0` string").repartition(8)
+    kept = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
+    spark.conf.set("spark.sql.adaptive.enabled", False)
+    try:
+        out = extract_text(df, keep=("page_id", "url", "__hot", "k0")).withColumn(
+            "task", F.spark_partition_id()).collect()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", kept)
+        spark.conf.set("spark.sql.adaptive.enabled", True)
+    assert {(r.page_id, r.text, r["__hot"], r.k0) for r in out} == {
+        (i, f"text {i}", "x", "y") for i in range(3000)}
+    sizes = Counter(r.task for r in out if "big.org" in r.url)
+    assert max(sizes.values()) < 0.5 * 2000
+
+
 LONG = "a long sentence of the article, outside links " * 3
 SHORT = "another sentence that is shorter"
 
