@@ -115,8 +115,8 @@ def lookup_join(rows: DataFrame, table: DataFrame, on: str | Sequence[str],
         *[quoted(k) for k in on], own_salt.alias("__salt"),
         F.struct(*[quoted(c).alias(f"p{i}") for i, c in enumerate(payload)]).alias("__cold"))
     # equal rows differ by their partition, which a repeated task does not change
-    spread = F.pmod(F.xxhash64(*[quoted(c) for c in rows.columns], F.spark_partition_id()),
-                    F.lit(salts)) + salts
+    plain = [quoted(c) for c, kind in rows.dtypes if "map<" not in kind and "variant" not in kind]
+    spread = F.pmod(F.xxhash64(*plain, F.spark_partition_id()), F.lit(salts)) + salts
     unmatched = quoted("__hot").isNull()
     for k in on:
         unmatched = unmatched & quoted(k).isNotNull()
