@@ -2,15 +2,18 @@
 
 Everything is a DataFrame expression. A rule is listed under its canonical key ``host`` + ``path``.
 A URL's possible keys are its host and parent hosts, each with every prefix of its path as long as
-some listed path. Only URLs with a key that the filter may hold reach the join.
+some listed path. Only URLs with a key that the filter may hold reach the join. Rules that fit many
+URLs and URLs of many rows are counted first and broadcast, fewer than a thousand of each, so no task
+gets them whole.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from featherloom.llm.common import fresh
+from featherloom.llm.common import materialise
 from featherloom.naming import quoted
+from featherloom.operators.joins import lookup_join
 
 #: Words of 64 bits in a block of the filter; a key sets one bit in each.
 LANES = 8
@@ -91,7 +94,7 @@ def filter_urls(df: DataFrame, rules: DataFrame, url_column: str = "url",
 
     A null URL, or one without ``://``, has an empty host and path and fits no rule unless one
     with an empty host is listed. Repeated URLs get equal verdicts. Columns of the input that have
-    one of the four names are replaced. An empty table gives an empty table; without rules every
+    one of the four names, in any case, are replaced. An empty table gives an empty table; without rules every
     URL gets the default. A rule with a null host, path or verdict is ignored.
     """
     listed = (rules.dropna(subset=["host", "path", "verdict"])
@@ -99,31 +102,32 @@ def filter_urls(df: DataFrame, rules: DataFrame, url_column: str = "url",
               .withColumn("key", F.concat("host", "path")))
     size = listed.agg(F.count(F.lit(1)).alias("n"),
                       F.array_sort(F.collect_set(F.char_length("path"))).alias("lengths")).first()
-    host, path, rule, verdict = fresh(
-        df, "judged_host", "judged_path", "judged_rule", "judged_verdict")
-    parts = df.withColumns({host: host_of(quoted(url_column)), path: path_of(quoted(url_column))})
+    added = ("host", "path", "rule", "verdict")
+    names = {c: f"c{i}" for i, c in enumerate(df.columns) if c.lower() not in added}
+    parts = df.select(*[quoted(c).alias(n) for c, n in names.items()],
+                      host_of(quoted(url_column)).alias("h"), path_of(quoted(url_column)).alias("p"))
     if not size["n"]:
-        judged = parts.withColumns({rule: F.lit(None).cast("string"), verdict: F.lit(default)})
+        judged = parts.withColumns({"rule": F.lit(None).cast("string"), "verdict": F.lit(default)})
     else:
         blocks = min(MAX_BLOCKS, max(1, -(-size["n"] * BITS_PER_KEY // (64 * LANES))))
         words = blocked_bloom(listed, "key", blocks).scalar()
         lengths = F.array(*[F.lit(n) for n in size["lengths"]])
-        possible = (parts.select(F.col(host).alias("h"), F.col(path).alias("p"))
-                    .withColumn("key", F.explode(
-                        candidate_keys(F.col("h"), F.col("p"), lengths)))
-                    .select("h", "p", F.col("key.host").alias("host"),
-                            F.col("key.path").alias("path"))
-                    .where(may_hold(words, F.concat("host", "path"), blocks)).distinct())
-        hits = (possible
-                .join(listed, ["host", "path"])
-                .groupBy("h", "p")
-                .agg(F.max(F.struct(F.char_length("key"), F.char_length("host"), "key", "verdict"))
-                     .alias("best"))
-                .select(F.col("h").alias(host), F.col("p").alias(path),
-                        F.col("best.key").alias(rule), F.col("best.verdict").alias(verdict)))
-        judged = parts.join(hits, [host, path], "left").withColumn(
-            verdict, F.coalesce(quoted(verdict), F.lit(default)))
-    kept = [c for c in df.columns if c not in ("host", "path", "rule", "verdict")]
-    return judged.select(*[quoted(c) for c in kept], quoted(host).alias("host"),
-                         quoted(path).alias("path"), quoted(rule).alias("rule"),
-                         quoted(verdict).alias("verdict"))
+        possible = materialise(
+            parts.groupBy("h", "p").agg(F.count(F.lit(1)).alias("rows"))
+            .withColumn("key", F.explode(candidate_keys(F.col("h"), F.col("p"), lengths)))
+            .select("h", "p", "rows", F.col("key.host").alias("host"),
+                    F.col("key.path").alias("path"))
+            .where(may_hold(words, F.concat("host", "path"), blocks)))
+        # the exact join has one row per key on both sides; false positives get no rule
+        keys = materialise(possible.groupBy("host", "path").agg(F.count(F.lit(1)).alias("n"))
+                           .join(listed.hint("shuffle_hash"), ["host", "path"], "left"))
+        hits = materialise(
+            lookup_join(possible, keys, ["host", "path"], "n").where(F.col("key").isNotNull())
+            .groupBy("h", "p").agg(F.first("rows").alias("rows"), F.max(F.struct(
+                F.char_length("key"), F.char_length("host"), "key", "verdict")).alias("best"))
+            .select("h", "p", "rows", F.col("best.key").alias("rule"),
+                    F.col("best.verdict").alias("verdict")))
+        judged = lookup_join(parts, hits, ["h", "p"], "rows").withColumn(
+            "verdict", F.coalesce("verdict", F.lit(default)))
+    return judged.select(*[F.col(n).alias(c) for c, n in names.items()], F.col("h").alias("host"),
+                         F.col("p").alias("path"), "rule", "verdict")

@@ -52,8 +52,38 @@ def test_filter_holds_every_key_and_few_others(spark):
     assert other.where(may_hold(words.scalar(), F.col("key"), blocks)).count() < 400
 
 
-def test_no_python_in_the_plan(spark, folder):
+def test_columns_named_like_added_ones_in_any_case(spark):
+    df = spark.createDataFrame([(1, "http://x.org/", "a", "b", {"k": 1}, 7)],
+                               "page_id long, url string, Host string, RULE string, "
+                               "m map<string, int>, `__hot` int")
+    rules = spark.createDataFrame(RULES, "host string, path string, verdict string")
+    out = filter_urls(df, rules)
+    assert out.columns == ["page_id", "url", "m", "__hot", "host", "path", "rule", "verdict"]
+    assert out.first()[:] == (1, "http://x.org/", {"k": 1}, 7, "x.org", "/", "org/", "allow")
+
+
+def test_rows_of_one_url_spread_over_tasks(spark):
+    df = spark.range(0, 4000, 1, 8).select("id", F.when(F.col("id") % 3 == 0, F.concat(
+        F.lit("http://h.org/"), "id")).otherwise("http://x.com/de/").alias("url"))
+    rules = spark.createDataFrame(RULES, "host string, path string, verdict string")
+    kept = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
+    spark.conf.set("spark.sql.adaptive.enabled", False)
+    try:
+        hot = filter_urls(df, rules).where("rule = 'com/de/'").groupBy(
+            F.spark_partition_id()).count().collect()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", kept)
+        spark.conf.set("spark.sql.adaptive.enabled", True)
+    sizes = [r["count"] for r in hot]
+    assert sum(sizes) == 2666 and max(sizes) < 0.5 * sum(sizes)
+
+
+def test_no_python_in_the_plan(spark, folder, monkeypatch):
+    from featherloom.llm import url_filter
     from featherloom.llm.queries import op2_url_filter
+    # as one plan, with nothing written in between
+    monkeypatch.setattr(url_filter, "materialise", lambda df: df)
     plan = op2_url_filter(spark, folder)._jdf.queryExecution().toString()
     assert "Python" not in plan and "Arrow" not in plan and "Cartesian" not in plan
-    assert "NestedLoop" not in plan
+    assert "NestedLoop" not in plan and "ShuffledHashJoin" in plan
