@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from featherloom.ml.models import OutOfFold
 from featherloom.ml.runs import latest_meta, load_external, produce_oof, write_stack
+from featherloom.ml.search import search_models
 from featherloom.ml.stack import fit_stacker, stack_meta_inputs
 from featherloom.operators.encode import class_weights, factorize
 from featherloom.operators.joins import lookup_join
@@ -107,3 +108,11 @@ def test_class_weights_move_no_row(spark):
 
 def test_bundle_names():
     assert set(OutOfFold(1, None, 2, []).bundle()) == {"train_oof", "feature_importance"}
+
+
+def test_searches_that_all_fail_leave_no_trials(spark):
+    rows = spark.createDataFrame([(i, i % 2) for i in range(8)], "key long, label int")
+    report = Report()
+    best, trials = search_models(rows, {"A": {"model": "NoSuchModel"}, "B": {}}, report=report)
+    assert best == {} and trials is None
+    assert report.names("search_models") == ["A", "B"]
