@@ -6,15 +6,19 @@ each takes tokens in one global order until its signatures survive the loss of a
 rare token is a signature of its own, and tokens of a frequent class count in combinations of two,
 so a class with m tokens in the prefix withstands m - 2 losses. Prefixes get longer for that.
 
-The order puts a fixed share of the tokens (a fifth at 0.9), chosen by hash, first and by rising
-count of nodes; exact counts of these suffice for most prefixes, others go on with uncounted ones. The plan:
-
-1. scan: sets, nodes, and their counted tokens, packed by shard of the token;
-2. count: tokens of two or more nodes go back to their nodes;
-3. sign: prefixes; nodes that share a signature are joined to a leader, first within the task;
-4. verify: nodes of one candidate component and near size meet in blocks of bounded size, which
+The order puts common tokens (boilerplate) last: those whose count in a sketch of fixed size, over all
+texts, stands far above its mean cell. Of the others a fixed share (a fifth at 0.9), chosen by hash,
+comes first and by rising count of nodes; exact counts of these suffice for most prefixes, others go
+on with uncounted ones. The plan:
+
+1. tally: every task adds its tokens to a sketch, the sketches are summed, and the cells of common
+   tokens go to all tasks as bits;
+2. scan: sets, nodes, and their counted tokens, packed by shard of the token;
+3. count: tokens of two or more nodes go back to their nodes;
+4. sign: prefixes; nodes that share a signature are joined to a leader, first within the task;
+5. verify: nodes of one candidate component and near size meet in blocks of bounded size, which
    compute overlaps and give a spanning forest of the links;
-5. components of the links.
+6. components of the links.
 
 Tokens and sets compare by 64 bits of hash.
 """
@@ -27,11 +31,12 @@ from math import log
 
 import numpy as np
 import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import DataFrame, functions as F
 
 from featherloom.llm.common import materialise, partitions
 from featherloom.llm.components import components
-from featherloom.llm.kernels import LOWER, SPACE, Hasher, mix, text_chunks, word_bounds
+from featherloom.llm.kernels import LOWER, SPACE, Hasher, mix, text_chunks, whole_windows, word_bounds
 from featherloom.llm.repeats import (LAST_ID, PACKED, by_shard, pack, packed_rows, packed_schema,
                                      unpack)
 from featherloom.naming import quoted
@@ -44,8 +49,15 @@ COUNTED = 45
 FREQUENT = 64
 #: Classes of frequent tokens, by hash.
 CLASSES = 16
-#: Sets up to this size take single tokens only; those from 0.9 of it use the classes too.
+#: Sets up to this size have one class of frequent tokens; those that can link with a larger set
+#: sign with all classes too.
 SMALL = 64
+#: Bits of a cell number in the sketch, and its rows.
+CELL_BITS, SKETCH_ROWS = 20, 2
+#: Cells of the sketch that travel as one row.
+STRETCH_BITS = 14
+#: A token is common from FREQUENT plus so many mean cells on.
+ABOVE_MEAN = 4
 #: Nodes of a block in verification.
 BLOCK = 1024
 #: Tokens that a scan task holds before it sends them on.
@@ -53,6 +65,7 @@ FLUSH = 2_000_000
 
 DOC = {"doc": "i8", "tag": "i8", "node": "u8", "size": "u4"}
 TOKEN = {"token": "u8", "node": "u8"}
+CELL = {"cell": "u4", "count": "i8"}
 RETURNED = {"node": "u8", "token": "u8", "count": "u1"}
 SIGNED = {"signature": "u8", "node": "u8"}
 
@@ -88,7 +101,75 @@ def counted(tokens: np.ndarray, percent: int) -> np.ndarray:
     return mix(tokens) % np.uint64(-(-COUNTED // (100 - percent))) == 0
 
 
-def _scan(shards: int, percent: int, shingle: int) -> Callable:
+def cells(tokens: np.ndarray, row: int) -> np.ndarray:
+    """Cell of each token in a row of the sketch; the rows use different bits of the hash."""
+    low = np.uint64((1 << CELL_BITS) - 1)
+    return ((tokens >> np.uint64(44 if row == 0 else 8)) & low).astype(np.int64)
+
+
+def is_common(tokens: np.ndarray, common: np.ndarray) -> np.ndarray:
+    """True where every row of the sketch has a common cell for the token."""
+    return np.logical_and.reduce([common[r][cells(tokens, r)] for r in range(SKETCH_ROWS)])
+
+
+def _tally(shingle: int) -> Callable:
+    """Counts of the sketch over the texts of a task; of equal texts one counts."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        hasher, known = Hasher(), set()
+        counts = np.zeros((SKETCH_ROWS, 1 << CELL_BITS), dtype=np.int64)
+        for batch in batches:
+            new = []
+            for tag in batch.column(0).to_pylist():
+                new.append(tag not in known)
+                known.add(tag)
+            known = set() if len(known) > FLUSH else known
+            for _, _, data, offsets in text_chunks(batch.column(1).filter(pa.array(new))):
+                data = LOWER[data]
+                starts, ends, first = word_bounds(data, offsets, SPACE)
+                words = hasher.ranges(hasher.prefix(hasher.codes[data]), starts, ends)
+                tokens = hasher.grams(hasher.prefix(words), shingle)
+                tokens = tokens[whole_windows(first, shingle, len(starts))[:len(tokens)]]
+                for r in range(SKETCH_ROWS):
+                    counts[r] += np.bincount(cells(tokens, r), minlength=1 << CELL_BITS)
+        flat = counts.reshape(-1)
+        cell = np.flatnonzero(flat)
+        rows = [(s, 0, pack(p)) for s, p in by_shard(
+            {"cell": cell.astype(np.uint32), "count": flat[cell]}, cell >> STRETCH_BITS)]
+        yield packed_rows(rows, packed_schema())
+    return run
+
+
+def _summed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Sums of the stretches of cells that come to this task, one row each; batches stream through."""
+    sums: dict[int, np.ndarray] = {}
+    for batch in batches:
+        for stretch, blob in zip(batch.column(0).to_pylist(), batch.column(2).to_pylist(),
+                                 strict=True):
+            total = sums.setdefault(stretch, np.zeros(1 << STRETCH_BITS, dtype=np.int64))
+            part = unpack(CELL, [blob])
+            total[part["cell"] & np.uint32((1 << STRETCH_BITS) - 1)] += part["count"]
+    rows = [(s, 0, np.minimum(t, 2 ** 32 - 1).astype("u4").tobytes()) for s, t in sums.items()]
+    yield packed_rows(rows, packed_schema())
+
+
+def common_cells(keyed: DataFrame, shingle: int) -> np.ndarray:
+    """Bits of the cells whose count stands above the threshold, one line per row of the sketch.
+
+    The driver gets the summed sketch: 2^20 counts of 4 bytes for each of two rows, whatever the
+    size of the table.
+    """
+    summed = (keyed.select("tag", "text").where(F.col("text").isNotNull())
+              .mapInArrow(_tally(shingle), PACKED)
+              .repartition(partitions(keyed.sparkSession), "shard").mapInArrow(_summed, PACKED))
+    counts = np.zeros(SKETCH_ROWS << CELL_BITS, dtype=np.uint32)
+    for row in summed.select("shard", "packed").toLocalIterator():
+        at = row["shard"] << STRETCH_BITS
+        counts[at:at + (1 << STRETCH_BITS)] = np.frombuffer(row["packed"], dtype="u4")
+    mean = counts.sum(dtype=np.float64) / len(counts)
+    return (counts >= FREQUENT + ABOVE_MEAN * mean).reshape(SKETCH_ROWS, -1)
+
+
+def _scan(shards: int, percent: int, shingle: int, common: Broadcast) -> Callable:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hasher, known = Hasher(), set()
         tokens, nodes, docs, heads, held = [], [], [], [], 0
@@ -100,9 +181,10 @@ def _scan(shards: int, percent: int, shingle: int) -> Callable:
                 columns = {n: table[n] for n in DOC}
                 shard = (columns["node"] % np.uint64(shards)).astype(int)
                 rows += [(s, 2, pack(p)) for s, p in by_shard(columns, shard)]
-            for node, size, total, rest in heads:
-                rows.append((node % shards, 3, np.array([node, size, total], dtype="u8").tobytes()
-                             + rest.tobytes()))
+            for node, size, total, plain, frequent in heads:
+                rows.append((node % shards, 3, np.array(
+                    [node, size, total, len(plain)], dtype="u8").tobytes()
+                    + plain.tobytes() + frequent.tobytes()))
             if tokens:
                 token = np.concatenate(tokens)
                 node = np.repeat(np.array(nodes, dtype=np.uint64), [len(t) for t in tokens])
@@ -136,10 +218,11 @@ def _scan(shards: int, percent: int, shingle: int) -> Callable:
                 if not size or node in known:
                     continue
                 known.add(node)
-                first = counted(each, percent)
-                own = each[first]
-                need = may_lack(size, percent) + 1 + CLASSES - len(own)
-                heads.append((node, size, len(own), each[~first][:max(0, need)]))
+                first, often = counted(each, percent), is_common(each, common.value)
+                own = each[first & ~often]
+                need = max(0, may_lack(size, percent) + 1 + CLASSES - len(own))
+                plain = each[~first & ~often][:need]
+                heads.append((node, size, len(own), plain, each[often][:need - len(plain)]))
                 tokens.append(own)
                 nodes.append(node)
                 held += len(own)
@@ -186,30 +269,37 @@ def _pair(a: int, b: int) -> int:
 
 
 def signatures(size: int, total: int, shared: list[tuple[int, int]], rest: list[int],
-               percent: int) -> list[int]:
+               percent: int, common: list[int] = ()) -> set[int]:
     """Signatures of a set: of its ``total`` counted tokens, ``shared`` has (count, token) of those
-    that other nodes have too; ``rest`` are its first uncounted tokens in order."""
-    need = may_lack(size, percent) + 1
-    ordered, out = sorted(shared), []
+    that other nodes have too; ``rest`` are its first uncounted tokens in order, and ``common`` its
+    first common ones. A set of one token links with no other set."""
+    out: set[int] = set()
+    ordered = [*sorted(shared), *((0, t) for t in rest), *((FREQUENT, t) for t in common)]
     unique = total - len(shared)  # first in the order, and nobody else's
-    if size <= SMALL:
-        left = max(0, need - unique)
-        chosen = [t for _, t in ordered[:left]]
-        out += [_pair(t, 1) for t in chosen + rest[:max(0, left - len(chosen))]]
-    if 100 * size >= percent * SMALL:
-        classes: dict[int, list[int]] = {}
-        for count, token in [*ordered, *((0, t) for t in rest)]:
-            if unique >= need:
-                break
-            if count < FREQUENT:
-                out.append(_pair(token, 2))
-                unique += 1
-            else:
-                members = classes.setdefault(token >> 32 & (CLASSES - 1), [])
-                members.append(token)
-                unique += len(members) > 1
-        for members in classes.values():
-            out += [_pair(_pair(a, b), 3) for a, b in combinations(sorted(members), 2)]
+    need = may_lack(size, percent) + 1
+    if 1 < size <= SMALL:
+        out |= _prefix_signatures(ordered, need - unique, 1)
+    if size > 1 and 100 * size >= percent * SMALL:
+        out |= _prefix_signatures(ordered, need - unique, CLASSES)
+    return out
+
+
+def _prefix_signatures(ordered: list[tuple[int, int]], need: int, classes: int) -> set[int]:
+    """Single rare tokens, and pairs of frequent ones of a class, that outlast need - 1 losses."""
+    out: set[int] = set()
+    members: list[list[int]] = [[] for _ in range(classes)]
+    for count, token in ordered:
+        if need <= 0:
+            break
+        if count < FREQUENT:
+            out.add(_pair(token, 2))
+            need -= 1
+        else:
+            same = members[token >> 32 & (classes - 1)]
+            same.append(token)
+            need -= len(same) > 1
+    for same in members:
+        out.update(_pair(_pair(a, b), 3) for a, b in combinations(sorted(same), 2))
     return out
 
 
@@ -249,7 +339,9 @@ def _sign(shards: int, percent: int) -> Callable:
             shared = {t: c for t, c in sorted(zip(token[a:b].tolist(), count[a:b].tolist(),
                                                   strict=True))}
             signs = signatures(int(head[1]), int(head[2]),
-                               [(c, t) for t, c in shared.items()], head[3:].tolist(), percent)
+                               [(c, t) for t, c in shared.items()],
+                               head[4:4 + int(head[3])].tolist(), percent,
+                               head[4 + int(head[3]):].tolist())
             signature += signs
             of += [name] * len(signs)
         edges, entries = _leaders(np.array(signature, dtype=np.uint64),
@@ -362,17 +454,10 @@ def near_duplicates(df: DataFrame, id_column: str = "doc_id", text_column: str =
     returned as null. Repeated rows are equal in all columns. An empty table gives an empty table.
     ``percent`` must be from 51 to 99.
     """
-    shards = partitions(df.sparkSession)
     keyed = df.select(F.coalesce(quoted(id_column).cast("long"), F.lit(LAST_ID)).alias("doc"),
                       F.xxhash64(quoted(text_column)).alias("tag"),
                       quoted(text_column).alias("text"))
-    scanned = materialise(keyed.mapInArrow(_scan(shards, percent, shingle), PACKED)
-                          .groupBy("shard").applyInArrow(_count(shards), PACKED))
-    documents = materialise(scanned.where("kind = 2").select("packed").mapInArrow(
-        _documents, "doc long, tag long, node long, size long"))
-    signed = scanned.where("kind in (3, 4)").groupBy("shard").applyInArrow(
-        _sign(shards, percent), PACKED)
-    candidates = signed.groupBy("shard").applyInArrow(_meet, "a long, b long")
+    documents, candidates = candidate_pairs(keyed, percent, shingle)
     grouped = components(candidates)
     links = components(_verified(keyed, documents, grouped, percent, shingle))
     nodes = documents.where("size > 0").groupBy("node").agg(F.min("doc").alias("least"))
@@ -386,6 +471,20 @@ def near_duplicates(df: DataFrame, id_column: str = "doc_id", text_column: str =
                     .alias("component_id"), F.col("root").alias("class_root")))
 
 
+def candidate_pairs(keyed: DataFrame, percent: int, shingle: int) -> tuple[DataFrame, DataFrame]:
+    """(documents with node and size, pairs (a, b) of nodes that join all that share a signature)
+    for rows of doc, tag (xxhash64 of the text) and text."""
+    spark, shards = keyed.sparkSession, partitions(keyed.sparkSession)
+    common = spark.sparkContext.broadcast(common_cells(keyed, shingle))
+    scanned = materialise(keyed.mapInArrow(_scan(shards, percent, shingle, common), PACKED)
+                          .groupBy("shard").applyInArrow(_count(shards), PACKED))
+    documents = materialise(scanned.where("kind = 2").select("packed").mapInArrow(
+        _documents, "doc long, tag long, node long, size long"))
+    signed = scanned.where("kind in (3, 4)").groupBy("shard").applyInArrow(
+        _sign(shards, percent), PACKED)
+    return documents, signed.groupBy("shard").applyInArrow(_meet, "a long, b long")
+
+
 def _verified(keyed: DataFrame, documents: DataFrame, grouped: DataFrame, percent: int,
               shingle: int) -> DataFrame:
     """Links among nodes of one candidate component, as a spanning forest of each block.

@@ -5,7 +5,8 @@ import pytest
 
 from featherloom.llm import jaccard_join as module
 from featherloom.llm.components import components
-from featherloom.llm.jaccard_join import linked_forest, near_duplicate_digest, signatures
+from featherloom.llm.jaccard_join import (candidate_pairs, common_cells, linked_forest,
+                                          near_duplicate_digest, signatures)
 
 LAST = 1 << 63
 
@@ -107,12 +108,46 @@ def test_linked_sets_share_a_signature():
         signs = []
         for s in (x, y):
             own = [t for t in s if t % 3 == 0]
-            rest = sorted(t for t in s if t % 3)
+            own = [t for t in own if t % 5]
+            rest = sorted(t for t in s if t % 3 and t % 5)
+            common = sorted(t for t in s if t % 5 == 0)
             shared = [(count[t], t) for t in own if count[t] > 1]
-            signs.append(set(signatures(len(s), len(own), shared, rest, 90)))
+            signs.append(signatures(len(s), len(own), shared, rest, 90, common))
         assert signs[0] & signs[1], (len(x), len(y))
 
 
+@pytest.mark.parametrize("percent", [51, 80, 99])
+def test_sets_of_frequent_tokens_share_a_signature(percent):
+    rng = random.Random(percent)
+    for size in range(2, 130):
+        x = sorted(rng.getrandbits(64) for _ in range(size))
+        y = x[module.may_lack(size, percent):]   # what the first set lacks is first in its order
+        if len(y) > 1:
+            assert signatures(size, 0, [], [], percent, x) \
+                & signatures(len(y), 0, [], [], percent, y), size
+
+
+@pytest.mark.parametrize("own", [10, 20])
+def test_boilerplate_makes_no_candidates(spark, own):
+    rng = random.Random(8)
+    line = [f"notice{i}" for i in range(30)]
+    rows = [(i, i, " ".join(line + [str(rng.getrandbits(40)) for _ in range(own)]))
+            for i in range(4000)]
+    keyed = spark.createDataFrame(rows, "doc long, tag long, text string")
+    _, pairs = candidate_pairs(keyed, 90, 3)
+    sizes = components(pairs).groupBy("root").count().agg({"count": "max"}).first()[0]
+    assert (sizes or 0) <= 10
+
+
+def test_sketch_counts_all_partitions(spark):
+    texts = ["a b c"] * 3 + [f"a b c {i}" for i in range(100)] + [None, "", "one two"]
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "tag long, text string")
+    common = common_cells(df.repartition(5), 3)
+    # "a b c" is in 103 rows, every other shingle in one
+    assert common.shape == (2, 1 << 20) and common.sum(axis=1).tolist() == [1, 1]
+    assert not common_cells(df.limit(0), 3).any()
+
+
 def test_forest_joins_what_links_join():
     rng = np.random.default_rng(6)
     for _ in range(30):
