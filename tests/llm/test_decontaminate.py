@@ -46,9 +46,10 @@ def tables(seed):
     return docs, bench
 
 
-@pytest.mark.parametrize("part_bytes", [1 << 22, 60])
-def test_against_brute_force(spark, monkeypatch, part_bytes):
+@pytest.mark.parametrize(("part_bytes", "broadcast"), [(1 << 22, 1 << 26), (60, 1 << 26), (60, 10)])
+def test_against_brute_force(spark, monkeypatch, part_bytes, broadcast):
     monkeypatch.setattr(module, "PART_BYTES", part_bytes)
+    monkeypatch.setattr(module, "BROADCAST_BYTES", broadcast)   # beyond it, the items are joined
     docs, bench = tables(4)
     d = spark.createDataFrame([(*r, 5) for r in docs], "doc_id long, text string, hits int")
     b = spark.createDataFrame(bench, "item_id long, text string")
@@ -62,6 +63,17 @@ def test_against_brute_force(spark, monkeypatch, part_bytes):
     assert decontaminate(d, b).count() == sum(not w[-1] for w in want)
 
 
+def test_joined_benchmark_gives_the_same_rows(spark, monkeypatch, folder):
+    d, b = (spark.read.parquet(f"{folder}/{n}.parquet") for n in ("documents", "benchmark"))
+    found = sorted(contamination_digest(d, b).collect())
+    monkeypatch.setattr(module, "BROADCAST_BYTES", 0)
+    assert sorted(contamination_digest(d, b).collect()) == found
+    assert any(r.contaminated for r in found)
+    assert contamination_digest(d.limit(0), b).count() == 0
+    no_words = spark.createDataFrame([(1, " -- ")], "item_id long, text string")
+    assert not any(r.contaminated for r in contamination_digest(d, no_words).collect())
+
+
 def test_empty_tables(spark):
     docs, bench = tables(5)
     d = spark.createDataFrame(docs, "doc_id long, text string")
