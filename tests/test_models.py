@@ -5,9 +5,10 @@ import pytest
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import functions as F
 
+from featherloom.ml import neighbours
 from featherloom.ml.matrix import materialise
 from featherloom.ml.models import fit, oof_predict, refit_full
-from featherloom.ml.neighbours import knn_votes, nearest_rows
+from featherloom.ml.neighbours import Cells, _vectors, knn_votes, nearest_rows, routes
 from featherloom.ml.reduce import decompose
 from featherloom.ml.search import cross_val_score, integer, real, sample_trials, search
 from featherloom.ml.stack import fit_stacker, resolve_model, stack_meta_inputs
@@ -95,6 +96,57 @@ def test_neighbours_equal_brute_force(spark, folder, p, block):
         "e > 1e-9").count() == 0
 
 
+def test_queries_ask_blocks_not_cells(spark):
+    # no cell can be ruled out: each query used to be sent to all 64 of them
+    x = np.random.default_rng(0).normal(size=(600, 16))
+    t = _vectors(spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)],
+                                       "key long, features array<double>"), "key", "features")
+    asked, held = routes(t, t, 5, 1, 64, 8192, 8192, 0)
+    assert asked.count() == 600
+    assert held.count() == 600 * asked.select("chunk").distinct().count()
+
+
+@pytest.mark.parametrize("p", [1, 2, 3])
+@pytest.mark.parametrize("case", ["plain", "scales", "far", "ties", "outliers"])
+def test_closest_rows_in_a_block(monkeypatch, case, p):
+    rng = np.random.default_rng(3)
+    y = rng.normal(size=(3000, 6))
+    if case == "scales":
+        y *= [1e6, 1, 1e-6, 1, 1, 0]
+    elif case == "far":
+        y += 1e9
+    elif case == "ties":
+        y = np.round(y)
+    elif case == "outliers":
+        y[::50] *= 1e200
+    x = y[:300]
+    cells = Cells(y[:40], p)
+    home, far, _, top = cells.home(y)
+    used = np.unique(home)
+    cells.measured(used, np.bincount(home)[used],
+                   *(np.array([v[home == c].max() for c in used]) for v in (far, top)))
+    paired, exact = neighbours._paired, []
+    monkeypatch.setattr(neighbours, "_paired",
+                        lambda *a: exact.append(len(a[1])) or paired(*a))
+    with np.errstate(over="ignore", invalid="ignore"):
+        i, j, d = neighbours._closest(x, np.full(300, np.inf), y, home, cells,
+                                      lambda a, b: a == b, 5, 6)
+        want = neighbours._distances(x, y, p)
+    want[np.arange(300), np.arange(300)] = np.nan
+    best = np.argsort(want, axis=1, kind="stable")[:, :5]
+    assert (i == np.repeat(np.arange(300), 5)).all() and (j == best.ravel()).all()
+    assert (d == want[i, j]).all()
+    if case == "plain" and p == 1:
+        assert sum(exact) < 0.1 * want.size
+
+
+def test_rows_of_a_repeated_key_do_not_hide_neighbours(spark):
+    rows = [(1, [i / 100]) for i in range(9)] + [(k, [100.0 * k]) for k in range(2, 30)]
+    df = spark.createDataFrame(rows, "key long, features array<double>")
+    out = nearest_rows(df, df, "key", "features", 2, exclude_self=True, pivots=40, block_rows=2)
+    assert {r.neighbour for r in out.collect() if r.key == 1} == {2}
+
+
 def test_svd_and_pca_match_numpy(spark, folder):
     rows = fx.vectors(spark, folder).select(
         "vec_id", *[F.col("x")[i].alias(f"dim{i}") for i in range(6)])
